@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewell.functions.calendars import expected_days, to_date
+from ratewell.functions.calendars import expected_days, is_expected, to_date
 from ratewell.operators.aggregates import day_meta
 from ratewell.operators.gates import (
     GateFailed, data_tests, enforce, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates,
@@ -257,7 +257,8 @@ def run(
 def backfill(
     spark: SparkSession, root: str, days: Sequence[date | str], params: Params | None = None
 ) -> str:
-    """Load any set of days of the newest logged snapshot in one job; days without data are left as they are."""
+    """Load any set of days of the newest logged snapshot in one job and gate the loaded ones; days without data
+    are left as they are. Models are not built."""
     params = params or Params()
     tables = Tables(spark, root)
     hash_id = ingest(tables, "backfill", None, params)
@@ -266,4 +267,12 @@ def backfill(
     build_stage(tables, hash_id)
     stage = tables.source(STAGE).where(F.col("hash_id") == hash_id)
     load_days(stage, tables.path(CORE), tables.path(META), params, "backfill", days)
+    wanted = spark.createDataFrame([(to_date(d),) for d in sorted(set(days), key=str)], "rate_date date")
+    loaded = stage.select("rate_date").distinct()
+    checked = wanted.join(loaded, "rate_date", "left_semi").withColumn(
+        "expected", is_expected(F.col("rate_date"), params.holidays)
+    )
+    meta = tables.find(META)
+    if meta is not None:
+        enforce(quality_gate(meta, checked, params, hash_id))
     return hash_id
