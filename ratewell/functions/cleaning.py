@@ -16,7 +16,6 @@ WHITE_SPACE = (
 # The accepted date literal and the accepted series code, matched over the whole value.
 DATE_LITERAL = r"\A(?!0000)\d{4}-\d{1,2}-\d{1,2}\z"
 SERIES_CODE = r"\A[A-Z]{3}\z"
-NOT_AVAILABLE = "N/A"
 
 
 def strip_blanks(text: Column) -> Column:
@@ -34,9 +33,9 @@ def strict_date(text: Column) -> Column:
 
 
 def strict_numeric(text: Column) -> Column:
-    """NUMERIC of the trimmed text; NULL for empty text, N/A and anything that is no number."""
-    trimmed = strip_blanks(text)
-    return F.nullif(F.nullif(trimmed, F.lit("")), F.lit(NOT_AVAILABLE)).try_cast(NUMERIC)
+    """NUMERIC of the trimmed text; NULL for empty text, N/A and anything else that is no number. The cast
+    itself gives NULL for '' and 'N/A', so neither is compared on its own."""
+    return strip_blanks(text).try_cast(NUMERIC)
 
 
 def is_series_code(code: Column) -> Column:

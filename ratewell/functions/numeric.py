@@ -30,6 +30,12 @@ def safe_divide(left: Column, right: Column) -> Column:
     return F.coalesce(narrow, wide)
 
 
+def mean(total: Column, count: Column, most: int) -> Column:
+    """total / count for a count of at most `most`; NULL for none. (38,9) over so few digits stays at nine
+    places, rounded once."""
+    return F.try_divide(numeric(total), count.cast(f"decimal({len(str(most))},0)")).try_cast(NUMERIC)
+
+
 def relative_change(new: Column, old: Column) -> Column:
     return difference(safe_divide(new, old), F.lit(1))
 

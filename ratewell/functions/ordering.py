@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
@@ -19,20 +19,21 @@ def over_series(
     key: Sequence[str],
     order: str,
     context: int,
-    build: Callable[[Window], dict[str, Column]],
+    build: Callable[[WindowSpec], Sequence[dict[str, Column]]],
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Add the columns of build(window), a window over `key` ordered by `order`, whose frames reach at most
-    `context` rows back. With block_rows each series is cut into blocks of that many rows; a block also gets
-    the `context` rows before it, so every frame is complete and the result is the same."""
+    """Add the columns of build(window), a window over `key` ordered by `order`. build gives steps, each of
+    which may use the columns of the step before; all share one shuffle and one sort. A row's values may depend
+    on at most `context` rows before it. With block_rows each series is cut into blocks of that many rows; a block also gets
+    the `context` rows before it, so the result is the same."""
     if block_rows is None:
-        return df.withColumns(build(Window.partitionBy(*key).orderBy(order)))
+        return _apply(df, build(Window.partitionBy(*key).orderBy(order)))
     if block_rows < context:
         raise ValueError(f"block_rows must be at least the frame reach {context}, got {block_rows}")
     blocks = Window.partitionBy(*key, "_block").orderBy(order)
-    return (
+    spread = (
         _numbered(df, key, order)
-        .withColumn("_first", F.floor(F.col("_row") / block_rows))
+        .withColumn("_first", F.expr(f"_row div {block_rows}"))
         .withColumn("_spill", F.col("_row") % block_rows >= block_rows - context)
         .withColumn(
             "_block",
@@ -40,12 +41,20 @@ def over_series(
                 F.when(F.col("_spill"), F.array("_first", F.col("_first") + 1)).otherwise(F.array("_first"))
             ),
         )
-        .withColumns(build(blocks))
+    )
+    return (
+        _apply(spread, build(blocks))
         .where(F.col("_block") == F.col("_first"))
         .drop("_row", "_first", "_spill", "_block")
     )
 
 
+def _apply(df: DataFrame, steps: Sequence[dict[str, Column]]) -> DataFrame:
+    for columns in steps:
+        df = df.withColumns(columns)
+    return df
+
+
 def _numbered(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """Row number from 0 along each series: numbered inside (series, year), shifted by the rows of the years
     before. The shift comes from one counted row per series and year."""

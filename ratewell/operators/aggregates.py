@@ -34,17 +34,26 @@ def day_meta(
     )
 
 
+def _sizes() -> list[Column]:
+    return [F.count(F.lit(1)).alias("row_count"), F.count_distinct("currency").alias("currency_count")]
+
+
+def _changes() -> list[Column]:
+    size = F.abs("pct_change")
+    return [numeric(F.avg(size)).alias("avg_abs_pct_change"), F.max(size).alias("max_abs_pct_change")]
+
+
 def day_stats(stg: DataFrame) -> DataFrame:
-    return stg.groupBy("rate_date").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct("currency").alias("currency_count")
-    )
+    return stg.groupBy("rate_date").agg(*_sizes())
 
 
 def change_stats(changes: DataFrame) -> DataFrame:
-    size = F.abs("pct_change")
-    return changes.groupBy("rate_date").agg(
-        numeric(F.avg(size)).alias("avg_abs_pct_change"), F.max(size).alias("max_abs_pct_change")
-    )
+    return changes.groupBy("rate_date").agg(*_changes())
+
+
+def day_and_change_stats(changed: DataFrame) -> DataFrame:
+    """Both in one pass over rows that carry their change; a NULL change counts as a row only."""
+    return changed.groupBy("rate_date").agg(*_sizes(), *_changes())
 
 
 def baseline_date(meta: DataFrame, day: date | str) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.calendars import calendar, is_weekday, month_start, to_date
 from ratewell.functions.cleaning import clean_code
-from ratewell.operators.aggregates import change_stats, day_stats
+from ratewell.operators.aggregates import change_stats, day_and_change_stats, day_stats
 from ratewell.operators.gates import AcceptedRange, ExpressionIsTrue, NotNull, Unique
 from ratewell.operators.reshape import rebase, to_wide, wide_name
-from ratewell.operators.windows import pct_change, rolling_stats
+from ratewell.operators.windows import with_change
 from ratewell.params import Params
 
 
@@ -54,57 +54,41 @@ def alert(row_count: Column, series_count: Column, change: Column, params: Param
 
 def quality_daily(
     stg: DataFrame,
-    changes: DataFrame,
+    changes: DataFrame | None,
     params: Params,
     as_of: date | str | None = None,
     holidays: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per calendar day from the start date to as_of (default yesterday). Both joined sides are one
-    row per day; Spark broadcasts them by its own size check. Holidays count as working days unless given."""
+    """One row per calendar day from the start date to as_of (default yesterday). Holidays count as working
+    days unless given. Stored changes are read beside stg; without them the changes are computed here and stg
+    is read once. What is joined to the calendar has one row per day; Spark broadcasts it by its own size
+    check, or sorts and merges it."""
     working = is_weekday(F.col("rate_date"))
     if holidays:
         working = working & ~F.col("rate_date").isin([to_date(h) for h in holidays])
     days = calendar(stg.sparkSession, params.start_date, as_of).withColumn("data_expected", working)
     rows = F.coalesce(F.col("row_count"), F.lit(0)).cast("long")
     series = F.coalesce(F.col("currency_count"), F.lit(0)).cast("long")
-    return (
-        days.join(day_stats(stg), "rate_date", "left")
-        .join(change_stats(changes), "rate_date", "left")
-        .select(
-            "rate_date",
-            "data_expected",
-            rows.alias("row_count"),
-            series.alias("currency_count"),
-            F.when(F.col("data_expected"), params.expected_series).otherwise(0).cast("long").alias(
-                "expected_currency_count"
-            ),
-            "avg_abs_pct_change",
-            "max_abs_pct_change",
-            alert(rows, series, F.col("max_abs_pct_change"), params).alias("alert"),
+    if changes is None:
+        measured = days.join(day_and_change_stats(with_change(stg)), "rate_date", "left")
+    else:
+        measured = days.join(day_stats(stg), "rate_date", "left").join(
+            change_stats(changes), "rate_date", "left"
         )
+    return measured.select(
+        "rate_date",
+        "data_expected",
+        rows.alias("row_count"),
+        series.alias("currency_count"),
+        F.when(F.col("data_expected"), params.expected_series).otherwise(0).cast("long").alias(
+            "expected_currency_count"
+        ),
+        "avg_abs_pct_change",
+        "max_abs_pct_change",
+        alert(rows, series, F.col("max_abs_pct_change"), params).alias("alert"),
     )
 
 
-def staging_models(core: DataFrame, params: Params) -> dict[str, DataFrame]:
-    stg = stg_rates(core, params)
-    return {"stg_rates": stg, "stg_rates_wide": stg_rates_wide(stg, params)}
-
-
-def mart_models(
-    stg: DataFrame,
-    wide: DataFrame,
-    changes: DataFrame,
-    params: Params,
-    as_of: date | str | None = None,
-    block_rows: int | None = None,
-) -> dict[str, DataFrame]:
-    return {
-        "mart_daily": mart_daily(wide, params),
-        "mart_rolling_stats": rolling_stats(stg, block_rows=block_rows),
-        "mart_quality_daily": quality_daily(stg, changes, params, as_of),
-    }
-
-
 def display_order(df: DataFrame, model: str) -> DataFrame:
     """The order in which a model is shown; stored tables are sorted inside their files only."""
     newest = F.col("rate_date").desc()
@@ -150,9 +134,3 @@ def model_tests(params: Params) -> dict[str, list]:
         ],
         "mart_rolling_stats": [day_series, *filled("rate_date", "currency", "rate")],
     }
-
-
-__all__ = [
-    "alert", "display_order", "mart_daily", "mart_models", "model_tests", "pct_change", "quality_daily",
-    "rolling_stats", "staging_models", "stg_rates", "stg_rates_wide",
-]

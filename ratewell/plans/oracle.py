@@ -110,7 +110,7 @@ change_stats AS (
 quality AS (
   SELECT c.rate_date, dayofweek(c.rate_date) BETWEEN 1 AND 5 AS data_expected,
          coalesce(row_count, 0) AS row_count, coalesce(currency_count, 0) AS currency_count,
-         CASE WHEN dayofweek(c.rate_date) BETWEEN 1 AND 5 THEN {PARAMS.expected_series} ELSE 0 END
+         CASE WHEN dayofweek(c.rate_date) BETWEEN 1 AND 5 THEN {PARAMS.expected_series}::bigint ELSE 0 END
            AS expected_currency_count, mean_change, max_change
   FROM calendar c LEFT JOIN day_stats USING (rate_date) LEFT JOIN change_stats USING (rate_date))"""
 
@@ -426,5 +426,5 @@ decided AS (
 {_DECIDED}""",
     "archive_roundtrip": f"WITH {RATES} SELECT rate_date, currency, {money('cents')} AS rate FROM rates",
     "land_stream": """WITH years AS (SELECT DISTINCT year(l_shipdate) AS year FROM lineitem)
-SELECT year, 64 AS hash_length, make_date(year, 12, 31) AS ingested_on FROM years""",
+SELECT year, 64::bigint AS hash_length, make_date(year, 12, 31) AS ingested_on FROM years""",
 }

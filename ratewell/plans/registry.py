@@ -56,6 +56,18 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_meta(views.rates(spark, sf_dir), PARAMS.required, "scheduled")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table: computed once, however often the next steps read it."""
+    path = scratch_folder(df.sparkSession, name)
+    write_snapshot(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stored_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The meta table is a stored table, as in a batch run: one row per day."""
+    return _stored(_meta(spark, sf_dir), "core_meta")
+
+
 # --- staging and marts -----------------------------------------------------------------------------------
 
 def q_stg_rates(spark, sf_dir):
@@ -83,8 +95,7 @@ def q_rolling_stats_blocked(spark, sf_dir):
 
 
 def q_quality_daily(spark, sf_dir):
-    stg = _stg(spark, sf_dir)
-    return plain(quality_daily(stg, pct_change(stg), PARAMS, AS_OF))
+    return plain(quality_daily(_stg(spark, sf_dir), None, PARAMS, AS_OF))
 
 
 def q_rolling_by_supplier(spark, sf_dir):
@@ -105,15 +116,9 @@ def q_event_rolling(spark, sf_dir):
 
 def q_data_tests(spark, sf_dir):
     """The 40 declared tests over stored models."""
-    folder = scratch_folder(spark, "models")
-
-    def stored(df, name):
-        write_snapshot(df, f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
-    stg = stored(_stg(spark, sf_dir), "stg_rates")
-    wide = stored(stg_rates_wide(stg, PARAMS), "stg_rates_wide")
-    changes = stored(pct_change(stg), "mart_pct_change")
+    stg = _stored(_stg(spark, sf_dir), "stg_rates")
+    wide = stg_rates_wide(stg, PARAMS)
+    changes = _stored(pct_change(stg), "mart_pct_change")
     models = {
         "stg_rates": stg,
         "stg_rates_wide": wide,
@@ -177,17 +182,17 @@ def q_required_gate(spark, sf_dir):
 
 
 def q_baseline_asof(spark, sf_dir):
-    return with_baseline(_meta(spark, sf_dir)).select("rate_date", "baseline_date", "row_count", "base_row_count")
+    return with_baseline(_stored_meta(spark, sf_dir)).select("rate_date", "baseline_date", "row_count", "base_row_count")
 
 
 def q_rate_jumps(spark, sf_dir):
-    return plain(rate_jumps(with_baseline(_meta(spark, sf_dir))))
+    return plain(rate_jumps(with_baseline(_stored_meta(spark, sf_dir))))
 
 
 def q_quality_gate(spark, sf_dir):
     """Every calendar day between the first and the last ship day."""
     gated = quality_gate(
-        _meta(spark, sf_dir), _shipping_calendar(spark, sf_dir, GATE_PARAMS.holidays), GATE_PARAMS, SNAPSHOT
+        _stored_meta(spark, sf_dir), _shipping_calendar(spark, sf_dir, GATE_PARAMS.holidays), GATE_PARAMS, SNAPSHOT
     )
     return gated.select(
         "rate_date", "status", "check", "baseline_date", "observed", "threshold",
@@ -339,10 +344,8 @@ def q_snapshot_audit(spark, sf_dir):
 
 def q_archive_roundtrip(spark, sf_dir):
     """Rates packed into yearly archives, opened, checked, parsed, made long and typed again."""
-    folder = scratch_folder(spark, "archives")
     found = zips.identify(views.archives(spark, sf_dir), PARAMS.max_archive_bytes)
-    write_snapshot(zips.extract_members(found), f"{folder}/members")
-    members = spark.read.parquet(f"{folder}/members")
+    members = _stored(zips.extract_members(found), "members")
     long = None
     for columns, delimiter in zips.layouts(members):
         part = to_long(zips.load_raw(members, columns, delimiter))

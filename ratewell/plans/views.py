@@ -94,39 +94,40 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rates as provider text, spoilt on some days of the month: blanks, N/A, words, long fractions, partial
     dates, padded codes, zero and negative rates, exact copies and second rates for a key."""
     day = F.dayofmonth("rate_date")
-    rate = F.col("rate").cast("decimal(18,2)").cast("string")
 
     def spoilt(plain: Column, cases: dict[int, Column]) -> Column:
-        result = plain
+        result = F.when(day.isNull(), plain)
         for n, value in cases.items():
-            result = F.when(day == n, value).otherwise(result)
-        return result
+            result = result.when(day == n, value)
+        return result.otherwise(plain)
+
+    def text(copy: Column) -> Column:
+        rate = F.col("rate").cast("decimal(18,2)").cast("string")
+        second = (F.col("rate") + copy).cast("decimal(18,2)").cast("string")
+        iso = F.date_format("rate_date", "yyyy-MM-dd")
+        return F.struct(
+            spoilt(iso, {
+                10: F.date_format("rate_date", "yyyy-MM"),
+                11: F.date_format("rate_date", "yyyy-M-d"),
+                12: F.concat(iso, F.lit(" 10:00")),
+            }).alias("date_str"),
+            spoilt(F.col("currency"), {
+                13: F.concat(F.lit(" "), F.lower("currency"), F.lit(" ")),
+                14: F.concat(F.lit("\t"), F.col("currency"), F.lit("\u00a0")),
+            }).alias("currency"),
+            spoilt(rate, {
+                3: F.lit(""), 4: F.lit("N/A"), 5: F.lit(" N/A "), 6: F.lit("abc"), 7: F.lit("n/a"),
+                8: F.concat(F.lit("  "), rate, F.lit("\t")),
+                9: F.concat(rate, F.lit("12345675")),
+                15: F.lit(None).cast("string"),
+                16: F.lit("0"),
+                17: F.concat(F.lit("-"), rate),
+                19: second,
+            }).alias("rate_str"),
+        )
 
     copies = F.when(day.isin(18, 19), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    base = rates(spark, sf_dir).withColumn("copy", F.explode(copies))
-    second = (F.col("rate") + F.col("copy")).cast("decimal(18,2)").cast("string")
-    iso = F.date_format("rate_date", "yyyy-MM-dd")
-    return base.select(
-        spoilt(iso, {
-            10: F.date_format("rate_date", "yyyy-MM"),
-            11: F.date_format("rate_date", "yyyy-M-d"),
-            12: F.concat(iso, F.lit(" 10:00")),
-        }).alias("date_str"),
-        spoilt(F.col("currency"), {
-            13: F.concat(F.lit(" "), F.lower("currency"), F.lit(" ")),
-            14: F.concat(F.lit("\t"), F.col("currency"), F.lit("\u00a0")),
-        }).alias("currency"),
-        spoilt(rate, {
-            3: F.lit(""), 4: F.lit("N/A"), 5: F.lit(" N/A "), 6: F.lit("abc"), 7: F.lit("n/a"),
-            8: F.concat(F.lit("  "), rate, F.lit("\t")),
-            9: F.concat(rate, F.lit("12345675")),
-            15: F.lit(None).cast("string"),
-            16: F.lit("0"),
-            17: F.concat(F.lit("-"), rate),
-            19: second,
-        }).alias("rate_str"),
-        "hash_id",
-    )
+    return rates(spark, sf_dir).select(F.inline(F.transform(copies, text)), "hash_id")
 
 
 def wide_text(spark: SparkSession, sf_dir: str) -> DataFrame:
