@@ -47,7 +47,8 @@ def identify(files: DataFrame, max_size: int) -> DataFrame:
 
 
 def refused(files: DataFrame, max_size: int) -> DataFrame:
-    """Files of an unacceptable size, without reading them."""
+    """Files of an unacceptable size, without reading them. Spark's file sources skip files of no bytes, so an
+    empty archive is seen here only if the frame comes from elsewhere; it is never identified in either case."""
     return files.where(~_fits(max_size)).select(
         "path",
         F.col("length").alias("size"),
