@@ -100,6 +100,12 @@ def _rate_of(pairs: Column, code: Column) -> Column:
     return F.try_element_at(F.filter(pairs, lambda pair: pair["currency"] == code), F.lit(-1))["rate"]
 
 
+def rate_map(pairs: Column) -> Column:
+    """Map from code to rate of a pair array; of a code listed twice the last rate counts."""
+    codes = F.array_distinct(F.transform(pairs, lambda pair: pair["currency"]))
+    return F.map_from_arrays(codes, F.transform(codes, lambda code: _rate_of(pairs, code)))
+
+
 def required_jumps(rates: Column, base_rates: Column, required: Column) -> Column:
     """Array of (currency, base_rate, new_rate, jump) for the required codes on both sides with a base that is
     not zero, ordered by code."""

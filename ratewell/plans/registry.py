@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ratewell.functions.calendars import day_series, is_expected, is_weekday
 from ratewell.operators.aggregates import day_meta, diff_summary, duplicate_keys
 from ratewell.operators.gates import data_tests, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates
-from ratewell.operators.reconcile import late_diff, missing_required, rate_jumps, with_baseline
+from ratewell.operators.reconcile import late_diff, missing_required, rate_jumps, rate_map, with_baseline
 from ratewell.operators.reshape import clean_long, to_long
 from ratewell.operators.upserts import fill_missing
 from ratewell.operators.windows import pct_change, rolling_stats
@@ -56,10 +56,10 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_meta(views.rates(spark, sf_dir), PARAMS.required, "scheduled")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def _stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     """df as a written table: computed once, however often the next steps read it."""
     path = scratch_folder(df.sparkSession, name)
-    write_snapshot(df, path)
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -185,6 +185,13 @@ def q_baseline_asof(spark, sf_dir):
     return with_baseline(_stored_meta(spark, sf_dir)).select("rate_date", "baseline_date", "row_count", "base_row_count")
 
 
+def q_rate_lookup(spark, sf_dir):
+    rates_of = rate_map(F.col("rates"))
+    return plain(_meta(spark, sf_dir).select(
+        "rate_date", F.map_keys(rates_of).alias("_codes"), rates_of["USD"].alias("usd"), rates_of["AUD"].alias("aud"),
+    ).select("rate_date", F.size("_codes").alias("codes"), "usd", "aud"))
+
+
 def q_rate_jumps(spark, sf_dir):
     return plain(rate_jumps(with_baseline(_stored_meta(spark, sf_dir))))
 
@@ -228,7 +235,7 @@ def q_late_diff_summary(spark, sf_dir):
 
 
 def q_late_diff_by_part(spark, sf_dir):
-    loaded, published = views.publications(spark, sf_dir, F.col("l_partkey"), "l_extendedprice")
+    loaded, published = views.publications(spark, sf_dir, "l_partkey", "l_extendedprice")
     diff = late_diff(published, loaded, AS_OF, WHOLE_HISTORY_DAYS, eps="25000.5", hash_id="published")
     return plain(diff.select("rate_date", "currency", "stage_rate", "core_rate", "diff_type"))
 
@@ -345,12 +352,8 @@ def q_snapshot_audit(spark, sf_dir):
 def q_archive_roundtrip(spark, sf_dir):
     """Rates packed into yearly archives, opened, checked, parsed, made long and typed again."""
     found = zips.identify(views.archives(spark, sf_dir), PARAMS.max_archive_bytes)
-    members = _stored(zips.extract_members(found), "members")
-    long = None
-    for columns, delimiter in zips.layouts(members):
-        part = to_long(zips.load_raw(members, columns, delimiter))
-        long = part if long is None else long.unionByName(part)
-    return plain(clean_long(long).drop("hash_id"))
+    members = _stored(zips.extract_members(found), "members", "layout")
+    return plain(clean_long(zips.snapshots_long(members)).drop("hash_id"))
 
 
 def q_land_stream(spark, sf_dir):

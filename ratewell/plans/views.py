@@ -44,13 +44,14 @@ def _best(value: str) -> Column:
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rate_date, currency, rate, hash_id): the highest extended price per ship day and pair."""
     codes = F.create_map(*[F.lit(x) for pair in PAIR_CODES.items() for x in pair])
-    pair = F.concat("l_returnflag", "l_linestatus")
-    return (
+    best = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(_ship_day(), codes[pair].alias("currency"))
+        .groupBy(_ship_day(), "l_returnflag", "l_linestatus")
         .agg(_best("l_extendedprice"))
-        .withColumn("hash_id", F.lit(SNAPSHOT))
     )
+    # The code is looked up once per aggregated row, not once per line.
+    code = codes[F.concat("l_returnflag", "l_linestatus")]
+    return best.select("rate_date", code.alias("currency"), "rate", F.lit(SNAPSHOT).alias("hash_id"))
 
 
 def rates_by(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -70,24 +71,23 @@ def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def publications(spark: SparkSession, sf_dir: str, key: Column, value: str) -> tuple[DataFrame, DataFrame]:
-    """(loaded, published) tables of (rate_date, currency, rate, hash_id)."""
+def publications(
+    spark: SparkSession, sf_dir: str, key: str, value: str, code: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(loaded, published) tables of (rate_date, currency, rate, hash_id) per key column, or its code."""
     lines = table(spark, sf_dir, "lineitem")
 
     def one(status: str, hash_id: str) -> DataFrame:
-        return (
-            lines.where(F.col("l_linestatus") == status)
-            .groupBy(_ship_day(), key.alias("currency"))
-            .agg(_best(value))
-            .withColumn("hash_id", F.lit(hash_id))
-        )
+        best = lines.where(F.col("l_linestatus") == status).groupBy(_ship_day(), key).agg(_best(value))
+        name = F.col(key) if code is None else code
+        return best.select("rate_date", name.alias("currency"), "rate", F.lit(hash_id).alias("hash_id"))
 
     return one("F", "loaded"), one("O", "published")
 
 
 def line_publications(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     code = F.concat(F.lit("LN"), F.char(F.col("l_linenumber") + 64))
-    return publications(spark, sf_dir, code, "l_quantity")
+    return publications(spark, sf_dir, "l_linenumber", "l_quantity", code)
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

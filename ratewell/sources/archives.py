@@ -6,6 +6,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewell.operators.reshape import DATE_COLUMN, TRAILING_COLUMN
+from ratewell.operators.reshape import DATE_COLUMN, TRAILING_COLUMN, to_long
 from ratewell.schemas import INGESTION_LOG
 
 # Delimiters in the order they are tried, and the quote character.
@@ -138,15 +139,19 @@ def _open(hash_id: str, content: bytes) -> dict:
 
 
 def extract_members(archives: DataFrame) -> DataFrame:
-    """(hash_id, name, csv_text, columns, delimiter, error), one row per archive: the member's whole text and
-    its checked header, or what is wrong with it. Each archive is opened once, in the task that read it."""
+    """(hash_id, name, csv_text, columns, delimiter, error, layout), one row per archive: the member's whole text
+    and its checked header, or what is wrong with it. Each archive is opened once, in the task that read it.
+    layout names the header; a members table partitioned by it is read once over all layouts."""
 
     def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for hash_id, content in zip(batch["hash_id"], batch["content"]):
                 yield pd.DataFrame([_open(hash_id, bytes(content))], columns=MEMBERS.fieldNames())
 
-    return archives.select("hash_id", "content").mapInPandas(opened, MEMBERS)
+    header = F.sha2(F.concat_ws("\u0001", "delimiter", "columns"), 256)
+    return archives.select("hash_id", "content").mapInPandas(opened, MEMBERS).withColumn(
+        "layout", F.when(F.col("error").isNull(), header)
+    )
 
 
 def rejected(members: DataFrame) -> DataFrame:
@@ -190,20 +195,25 @@ def load_csv(
 
 # --- many archives at once -------------------------------------------------------------------------------
 
-def layouts(members: DataFrame) -> list[tuple[list[str], str]]:
-    """The distinct (columns, delimiter) of the valid members. A provider changes its header rarely, so this
-    list stays short however many archives there are."""
-    headers = members.where(F.col("error").isNull()).select("columns", "delimiter").distinct()
-    return [(list(row["columns"]), row["delimiter"]) for row in headers.collect()]
+def layouts(members: DataFrame) -> list[tuple[str, list[str], str]]:
+    """The distinct (layout, columns, delimiter) of the valid members. A provider changes its header rarely, so
+    this list stays short however many archives there are."""
+    headers = members.where(F.col("layout").isNotNull()).select("layout", "columns", "delimiter").distinct()
+    return [(row["layout"], list(row["columns"]), row["delimiter"]) for row in headers.collect()]
+
 
+def snapshots_long(members: DataFrame) -> DataFrame:
+    """The long text rows of all valid members of a stored members table."""
+    found = [to_long(load_raw(members, *layout)) for layout in layouts(members)]
+    if not found:
+        raise ValueError("no valid member")
+    return reduce(DataFrame.unionByName, found)
 
-def load_raw(members: DataFrame, columns: list[str], delimiter: str) -> DataFrame:
+
+def load_raw(members: DataFrame, layout: str, columns: list[str], delimiter: str) -> DataFrame:
     """The wide all-text rows of every member with this header, with their hash_id, parsed on the JVM side from
     the member texts. Bad rows fail the load, as in load_csv."""
-    header = F.array(*[F.lit(c) for c in columns])
-    same = members.where(
-        F.col("error").isNull() & (F.col("columns") == header) & (F.col("delimiter") == delimiter)
-    )
+    same = members.where(F.col("layout") == layout)
     filled = F.filter(F.split("csv_text", r"\r\n|\r|\n"), lambda line: F.trim(line) != "")
     rows = same.select("hash_id", F.explode(F.slice(filled, F.lit(2), F.size(filled))).alias("_line"))
     parsed = F.from_csv("_line", ", ".join(f"`{c}` string" for c in columns), _dialect(delimiter))

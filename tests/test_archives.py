@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewell.operators.reshape import clean_long, to_long
 from ratewell.plans.views import zip_bytes
@@ -11,6 +12,7 @@ from ratewell.sources import archives as zips
 from tests.helpers import D, tuples
 
 LIMIT = 10 * 1024 * 1024
+MEMBER_COLUMNS = T.StructType([*zips.MEMBERS.fields, T.StructField("layout", T.StringType())])
 CSV = "Date,USD,GBP,\n2026-01-05,1.1,0.9,\n2026-01-06,N/A,0.8,\n"
 
 
@@ -123,7 +125,7 @@ def test_bom_and_bad_utf8(spark):
 
 def members(spark, *texts):
     contents = {str(i): zip_bytes("a.csv", t) for i, t in enumerate(texts)}
-    return spark.createDataFrame([tuple(r) for r in opened(spark, contents).values()], zips.MEMBERS)
+    return spark.createDataFrame([tuple(r) for r in opened(spark, contents).values()], MEMBER_COLUMNS)
 
 
 OTHER = 'Date;JPY\r\n"2026-01-07";"150;5"\r\n\r\n2026-01-08;151\r\n'
@@ -138,11 +140,12 @@ WANTED = [("2026-01-05", "GBP", "0.9"), ("2026-01-05", "USD", "1.1"), ("2026-01-
 
 def test_load_raw_by_layout(spark):
     opened_members = members(spark, CSV, OTHER)
-    found = {tuple(c): d for c, d in zips.layouts(opened_members)}
-    assert found == {("Date", "USD", "GBP", "_trailing_empty"): ",", ("Date", "JPY"): ";"}
-    by_layout = {c: rates_of(zips.load_raw(opened_members, list(c), d)) for c, d in found.items()}
+    found = {tuple(c): (name, d) for name, c, d in zips.layouts(opened_members)}
+    assert {c: d for c, (_, d) in found.items()} == {("Date", "USD", "GBP", "_trailing_empty"): ",", ("Date", "JPY"): ";"}
+    by_layout = {c: rates_of(zips.load_raw(opened_members, name, list(c), d)) for c, (name, d) in found.items()}
     assert by_layout[("Date", "USD", "GBP", "_trailing_empty")] == WANTED
     assert by_layout[("Date", "JPY")] == [("2026-01-07", "JPY", "150;5"), ("2026-01-08", "JPY", "151")]
+    assert tuples(zips.snapshots_long(opened_members), "date_str", "currency", "rate_str") == sorted(sum(by_layout.values(), []))
 
 
 def test_csv_objects(spark, tmp_path):
@@ -166,7 +169,7 @@ def test_ragged_rows_fail_the_load(spark, tmp_path, row):
     opened_members = members(spark, text)
     columns = ["Date", "USD", "GBP"]
     with pytest.raises(Exception, match="(?i)malformed"):
-        zips.load_raw(opened_members, columns, ",").collect()
+        zips.snapshots_long(opened_members).collect()
     root = str(tmp_path / "csv")
     zips.write_members(opened_members, root)
     with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE"):
