@@ -59,16 +59,16 @@ def ingest(tables: Tables, run_type: str, landing: str | None, params: Params) -
             return newest["hash_id"]
     if landing is None:
         raise ValueError("no logged snapshot: a landing folder is needed")
-    files = zips.landed_files(spark, landing).orderBy(F.col("modificationTime").desc(), "path").limit(1)
+    newest_file = zips.newest_path(spark, landing)
+    if newest_file is None:
+        raise ValueError(f"no archive in {landing}")
+    files = zips.landed_files(spark, newest_file)
     bad = zips.refused(files, params.max_archive_bytes).first()
     if bad:
         raise ValueError(f"{bad['path']}: {bad['error']}")
     archive = zips.identify(files, params.max_archive_bytes)
     _raise_rejected(zips.extract_members(archive))
-    new = zips.log_rows(archive).first()
-    if new is None:
-        raise ValueError(f"no archive in {landing}")
-    hash_id = new["hash_id"]
+    hash_id = archive.select("hash_id").first()["hash_id"]
     insert_missing(zips.log_rows(archive), log_path)
     wanted = archive.select("hash_id", F.col("size").alias("zip_size"))
     enforce(log_gate(wanted, tables.source(LOG), ["gcs_zip_uri", "zip_size"], ["zip_size"]))

@@ -371,6 +371,8 @@ SELECT rate_date, 'required' AS "check", CASE WHEN missing IS NULL THEN 'PASS' E
        coalesce(missing, '') AS missing
 FROM (SELECT DISTINCT rate_date FROM published) LEFT JOIN named USING (rate_date)""",
     "baseline_asof": f"WITH {META} SELECT rate_date, baseline_date, row_count, base_row_count FROM based",
+    "baseline_date": f"""WITH {RATES} SELECT max(rate_date) AS baseline_date FROM rates
+WHERE rate_date < (SELECT max(rate_date) FROM rates)""",
     "rate_lookup": f"""WITH {RATES} SELECT rate_date, count(DISTINCT currency) AS codes,
 max(CASE WHEN currency = 'USD' THEN {money('cents')} END) AS usd,
 max(CASE WHEN currency = 'AUD' THEN {money('cents')} END) AS aud FROM rates GROUP BY 1""",

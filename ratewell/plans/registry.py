@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewell.functions.calendars import day_series, is_expected, is_weekday
-from ratewell.operators.aggregates import day_meta, diff_summary, duplicate_keys
+from ratewell.operators.aggregates import baseline_date, day_meta, diff_summary, duplicate_keys
 from ratewell.operators.gates import data_tests, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates
 from ratewell.operators.reconcile import late_diff, missing_required, rate_jumps, rate_map, with_baseline
 from ratewell.operators.reshape import clean_long, to_long
@@ -185,6 +185,12 @@ def q_baseline_asof(spark, sf_dir):
     return with_baseline(_stored_meta(spark, sf_dir)).select("rate_date", "baseline_date", "row_count", "base_row_count")
 
 
+def q_baseline_date(spark, sf_dir):
+    """The latest meta day before the last ship day."""
+    meta = _stored_meta(spark, sf_dir)
+    return baseline_date(meta, meta.agg(F.max("rate_date")).first()[0])
+
+
 def q_rate_lookup(spark, sf_dir):
     rates_of = rate_map(F.col("rates"))
     return plain(_meta(spark, sf_dir).select(

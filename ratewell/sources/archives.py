@@ -61,6 +61,13 @@ def landed_files(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.format("binaryFile").load(directory)
 
 
+def newest_path(spark: SparkSession, directory: str) -> str | None:
+    """Path of the file that landed last. Without the content column no file is opened."""
+    listed = landed_files(spark, directory).select("path", "modificationTime")
+    newest = listed.orderBy(F.col("modificationTime").desc(), "path").first()
+    return newest and newest["path"]
+
+
 def scan_archives(spark: SparkSession, directory: str, max_size: int) -> DataFrame:
     return identify(landed_files(spark, directory), max_size)
 

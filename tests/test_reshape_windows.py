@@ -11,7 +11,7 @@ from ratewell.functions.ordering import previous_day
 from ratewell.operators.reshape import rebase, series_columns, stamp, to_long, to_wide
 from ratewell.operators.windows import pct_change, rolling_stats
 from ratewell.params import Params
-from ratewell.plans.marts import mart_daily, quality_daily, stg_rates, stg_rates_wide
+from ratewell.plans.marts import display_order, mart_daily, quality_daily, stg_rates, stg_rates_wide
 
 NINE = Decimal("0.000000001")
 
@@ -211,6 +211,15 @@ def test_quality_daily_holidays_and_empty_span(spark):
     assert quality(spark, rows, "2025-12-31", True) == {}
 
 
+def test_display_order(spark):
+    stg = stg_rates(stage(spark, [("2026-01-05", "USD", 1), ("2026-01-06", "USD", 2), ("2026-01-06", "GBP", 2)]), PARAMS)
+    shown = display_order(rolling_stats(stg), "mart_rolling_stats")
+    assert [(r["rate_date"].day, r["currency"]) for r in shown.collect()] == [(6, "GBP"), (6, "USD"), (5, "USD")]
+    daily = display_order(mart_daily(stg_rates_wide(stg, PARAMS), PARAMS), "mart_daily")
+    assert [(r["base_currency"], r["rate_date"].day) for r in daily.collect()] == [("EUR", 6), ("EUR", 5), ("USD", 6), ("USD", 5)]
+    assert display_order(stg, "stg_rates") is stg
+
+
 def test_models_have_the_documented_columns(spark):
     stg = stg_rates(stage(spark, history(3)), Params())
     assert stg.columns == ["rate_date", "rate_month", "base_currency", "currency", "rate"]
