@@ -23,8 +23,9 @@ def _status(failed: Column) -> Column:
 
 
 def enforce(results: DataFrame, shown: int = 20) -> None:
-    """Raise if a result has status FAIL, naming up to `shown` of them."""
-    failed = results.where(F.col("status") == "FAIL").limit(shown).collect()
+    """Raise if a result has status FAIL, naming the first `shown` of them. A top-k over one column takes one
+    job, where a bare limit would look at ever more partitions in turn."""
+    failed = results.where(F.col("status") == "FAIL").orderBy(results.columns[0]).limit(shown).collect()
     if failed:
         raise GateFailed("; ".join(str(row.asDict()) for row in failed))
 

@@ -94,7 +94,7 @@ def _raise_rejected(members: DataFrame) -> None:
 
 def extract(tables: Tables, hash_id: str, params: Params) -> None:
     """Store the CSV of a logged archive and fill the log's extraction fields where they are NULL."""
-    wanted = tables.spark.createDataFrame([(hash_id,)], "hash_id string")
+    wanted = tables.spark.range(1, numPartitions=1).select(F.lit(hash_id).alias("hash_id"))
     enforce(log_gate(wanted, tables.source(LOG), ["gcs_zip_uri", "zip_size"]))
     _audit_archive(tables, hash_id, params)
     root = tables.path(CSV_OBJECTS)

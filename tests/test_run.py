@@ -41,43 +41,40 @@ def test_runs(spark, tmp_path):
     run = lambda kind, day, params=PARAMS: daily.run(spark, root, kind, day, str(landing), params, as_of="2026-01-10")
 
     archive(landing, "a.zip", {"2026-01-05": {}, "2026-01-06": {"USD": "1.01"}, "2026-01-07": {"SEK": "N/A"}})
-    first = run("scheduled", "2026-01-05")
+    # Nothing is logged yet, so this run takes the landed archive as well.
+    first = run("backfill", "2026-01-05")
     assert tuples(tables.source("core_daily"), "rate_date", "currency")[0] == (D("2026-01-05"), "AUD")
     assert tables.source("core_daily").count() == 7
     log = tables.source("ingestion_log").first()
     assert log["hash_id"] == first and log["csv_size"] > 0 and "hash_id=" in log["gcs_csv_uri"]
-    # Days of the snapshot inside the look-back window that were never loaded.
-    assert tables.find("late_data_diff").count() == 0
-    assert tables.source("mart_quality_daily").count() == 10
-    assert tables.source("mart_daily").count() == 3
+    # Neither differences nor models on a backfill.
+    assert tables.find("late_data_diff") is None and tables.find("stg_rates") is None
 
-    run("scheduled", "2026-01-06")
-    assert tables.source("mart_pct_change").where("currency = 'USD'").first()["pct_change"] == Decimal("0.01")
-    # A day without rows changes nothing; on a working day the gate then misses its meta row.
+    # Any set of days in one job; a day without rows is left out.
+    assert daily.backfill(spark, root, ["2026-01-06", "2026-01-07", "2026-02-01"], PARAMS) == first
+    assert tables.source("core_daily").count() == 20
+    # On a working day without rows the gate misses the meta row.
     with pytest.raises(GateFailed, match="meta_missing"):
-        run("scheduled", "2026-01-08")
-    assert tables.source("core_daily").count() == 14
-    assert tuples(tables.source("late_data_diff"), "check_date", "rate_date", "diff_type")[-1] == (
-        D("2026-01-08"), D("2026-01-07"), "late_insert"
-    )
+        run("backfill", "2026-01-08")
+    assert tables.source("core_daily").count() == 20
 
     # A run that is not scheduled stays on the logged snapshot, whatever has landed since.
     archive(landing, "b.zip", {"2026-01-05": {"USD": "1.02"}, "2026-01-06": {"USD": "1.01"}, "2026-01-07": {}})
-    assert run("manual", "2026-01-07") == first
-    assert tables.source("core_meta").count() == 3
-    assert daily.backfill(spark, root, ["2026-01-05", "2026-01-06", "2026-02-01"], PARAMS) == first
-
+    assert run("backfill", "2026-01-07") == first
     second = run("scheduled", "2026-01-07")
-    assert second != first
-    late = tables.source("late_data_diff").where("check_date = '2026-01-07'")
-    assert tuples(late, "rate_date", "currency", "stage_rate", "core_rate", "diff_type") == [
+    assert second != first and tables.source("ingestion_log").count() == 2
+    assert tables.source("mart_pct_change").where("currency = 'USD' and rate_date = '2026-01-06'").first()["pct_change"] == Decimal("0.01")
+    assert tables.source("mart_quality_daily").count() == 10
+    assert tables.source("mart_daily").count() == 9
+    late = lambda: tables.source("late_data_diff").where("check_date = '2026-01-07'")
+    assert tuples(late(), "rate_date", "currency", "stage_rate", "core_rate", "diff_type") == [
         (D("2026-01-05"), "USD", Decimal("1.02"), Decimal("1.0"), "late_update")
     ]
-    # The correction reaches core when its day is run again, and the emptied diff of that day is cleared.
-    assert run("manual", "2026-01-05") == second
-    run("scheduled", "2026-01-07")
-    assert tables.source("late_data_diff").where("check_date = '2026-01-07'").count() == 0
-    assert tables.source("ingestion_log").count() == 2
+    # The correction reaches core when its day is loaded again, and then the logged diff of that day is cleared.
+    stage = tables.source("stage_long")
+    daily.load_days(stage, tables.path("core_daily"), tables.path("core_meta"), PARAMS, "manual", ["2026-01-05"])
+    daily.detect_late(tables, second, D("2026-01-07"), PARAMS)
+    assert late().count() == 0
 
 
 def test_failures_leave_core_alone(spark, tmp_path):
@@ -85,7 +82,7 @@ def test_failures_leave_core_alone(spark, tmp_path):
     landing.mkdir()
     root = str(tmp_path / "store")
     archive(landing, "a.zip", {"2026-01-05": {}, "2026-01-06": {"USD": "1.2"}, "2026-01-07": {"JPY": "N/A"}})
-    daily.run(spark, root, "scheduled", "2026-01-05", str(landing), PARAMS, as_of="2026-01-10")
+    daily.run(spark, root, "backfill", "2026-01-05", str(landing), PARAMS)
     tables = Tables(spark, root)
     with pytest.raises(GateFailed, match="JPY"):
         daily.run(spark, root, "backfill", "2026-01-07", str(landing), PARAMS)
