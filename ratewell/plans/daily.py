@@ -21,7 +21,8 @@ from ratewell.plans.marts import mart_daily, model_tests, quality_daily, stg_rat
 from ratewell.operators.windows import pct_change, rolling_stats
 from ratewell.sources import archives as zips
 from ratewell.sources.sinks import (
-    insert_missing, materialize, promote, replace_days, replace_partition, replace_table, write_snapshot,
+    day_frame, insert_missing, materialize, month_starts, promote, replace_days, replace_partition, replace_table,
+    write_snapshot,
 )
 from ratewell.sources.tables import Tables, contains, latest_snapshot, snapshot_by_hash
 
@@ -177,16 +178,19 @@ def load_days(
     if days is not None:
         stage = stage.where(F.col("rate_date").isin([to_date(d) for d in days]))
     gate = required_gate(stage, params.required)
-    if strict:
-        enforce(gate)
-    else:
-        incomplete = gate.where(F.col("status") == "FAIL").select("rate_date")
-        stage = stage.join(incomplete, "rate_date", "left_anti")
+    decided = gate.select("rate_date", "status").collect()  # one row per calendar day
+    complete = [row["rate_date"] for row in decided if row["status"] == "PASS"]
+    if len(complete) < len(decided):
+        if strict:
+            enforce(gate)
+        stage = stage.join(day_frame(stage.sparkSession, complete), "rate_date", "left_semi")
+        if "rate_month" in stage.columns:
+            stage = stage.where(F.col("rate_month").isin(month_starts(complete)))
     at = F.current_timestamp() if loaded_at is None else loaded_at
     core = stage.select("rate_date", "currency", "rate", "hash_id", at.alias("loaded_at"))
-    replace_days(core, core_path, grain=params.core_grain, order=["currency"])
+    replace_days(core, core_path, grain=params.core_grain, order=["currency"], days=complete)
     # One row per day: meta is always kept by month.
-    replace_days(day_meta(stage, params.required, run_type, at), meta_path, grain="month")
+    replace_days(day_meta(stage, params.required, run_type, at), meta_path, grain="month", days=complete)
 
 
 def detect_late(tables: Tables, hash_id: str, day: date, params: Params) -> None:

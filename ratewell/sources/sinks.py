@@ -98,15 +98,30 @@ def promote(
         drop_path(spark, beside)
 
 
+def day_frame(spark: SparkSession, days: Sequence[date], name: str = "rate_date") -> DataFrame:
+    """The days as a broadcast frame. A list of calendar days is small by nature: 36,525 in a century."""
+    return F.broadcast(spark.createDataFrame([(d,) for d in days], f"{name} date"))
+
+
+def month_starts(days: Sequence[date]) -> list[date]:
+    return sorted({d.replace(day=1) for d in days})
+
+
 def replace_days(
-    df: DataFrame, path: str, date_column: str = "rate_date", grain: str = "day", order: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    date_column: str = "rate_date",
+    grain: str = "day",
+    order: Sequence[str] = (),
+    days: Sequence[date] | None = None,
 ) -> None:
     """Delete the days of df from the table and insert df. Days absent from df keep their rows, so an empty df
     changes nothing.
 
     grain "day": the table has one partition per day and dynamic overwrite touches the given days alone.
     grain "month": one partition per month, for tables whose days are too small for a file each; the other
-    days of the touched months are read and written back with the new ones."""
+    days of the touched months are read and written back with the new ones. Which days df holds is looked up
+    in it unless the caller names them."""
     if grain == "day":
         _overwrite(df, path, date_column, order)
         return
@@ -115,10 +130,12 @@ def replace_days(
     monthly = df.withColumn("rate_month", month_start(F.col(date_column)))
     stored = find_table(df.sparkSession, path)
     if stored is not None:
-        # At most twelve months per year of history; as literals they prune the partitions of the table.
-        months = [row[0] for row in monthly.select("rate_month").distinct().collect()]
-        days = df.select(date_column).distinct()
-        kept = stored.where(F.col("rate_month").isin(months)).join(days, date_column, "left_anti")
+        if days is None:
+            days = [row[0] for row in df.select(date_column).distinct().collect()]
+        # The months are literals, so they prune the partitions of the table.
+        kept = stored.where(F.col("rate_month").isin(month_starts(days))).join(
+            day_frame(df.sparkSession, days, date_column), date_column, "left_anti"
+        )
         monthly = monthly.unionByName(kept)
     _overwrite(monthly, path, "rate_month", [date_column, *order])
 
