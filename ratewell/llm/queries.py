@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, packing, rules, toxicity, urls, warc
+from . import hnsw, jaccard, licenses, lm, mixing, packing, rules, toxicity, urls, warc
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_jaccard(spark, sf_dir):
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark, sf_dir):
     copies = mixing.shuffled(mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
     return copies.select("row.doc_id", "row.source", "copy", "shuffle_key")
@@ -36,5 +40,13 @@ def op8_urls(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_licenses, op3_toxicity, op5_mixing, op6_warc, op7_rules, op8_urls)}
+def op9_lm(spark, sf_dir):
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_hnsw(spark, sf_dir):
+    return hnsw.search_table(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_licenses, op3_toxicity, op4_jaccard, op5_mixing, op6_warc, op7_rules, op8_urls, op9_lm, op10_hnsw)}
 ORACLES = {"op5_mixing": mixing.MIX_SQL.format(docs="documents"), "op6_warc": warc.ROUNDTRIP_SQL}
