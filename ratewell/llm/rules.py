@@ -54,7 +54,7 @@ def _repeated(words: Column) -> Column:
 def _stats(text: Column) -> Column:
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t-\r]"))
     words = F.array_remove(F.split(text, SPACE), "")
-    marks = F.regexp_replace(text, r"[^A-Z0-9!#*$%&|<>]+", "")
+    marks = F.regexp_replace(text, r"[a-z \x{80}-\x{10FFFF}]+", "")  # few ranges: a long negated class is slow
     without = lambda m, kinds: F.length(m) - F.length(F.regexp_replace(m, kinds, ""))
     return F.struct(
         let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).cast("long").alias("repeated"))).alias("w"),
