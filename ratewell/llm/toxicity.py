@@ -2,13 +2,13 @@
 
 A text's features are the distinct hashes of its words, neighbouring word pairs and pairs with one word between. Each
 shard of the labelled rows runs FTRL-proximal by rows in hash order, with a learning rate per coordinate; after each
-pass the shards' states are averaged. The L1 term leaves few weights other than zero; those alone are sent to the tasks
+round of passes the shards' states are brought together. The L1 term leaves few weights other than zero; those alone are sent to the tasks
 that score.
 
 The model is fitted on at most SAMPLE labelled rows (all, if there are fewer), chosen by a hash of the id. A null or
 empty text has the score of the bias alone. A null id is never labelled and not held out. Repeated rows are scored for
-themselves; of contradicting labels of one id the highest counts. Without labels every score is 0.5 times the prior's
-absence, that is 0. Only ids, texts and labels are read."""
+themselves; of contradicting labels of one id the highest counts. Without labels every score is next to
+0. Only ids, texts and labels are read."""
 
 from __future__ import annotations
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import doc_hash, stored, wrapped
 
-BITS, SHARDS, PASSES, SAMPLE = 20, 4, 2, 20_000
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
+BITS, SHARD_ROWS, ROUNDS, PASSES, SAMPLE = 20, 5_000, 2, 3, 20_000
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
 # Letters lower-cased, all other ASCII but digits a space: bytes over 127 stay as they are.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
@@ -68,26 +68,29 @@ def ftrl_pass(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray)
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """shard, order, toxic and features of the labelled rows to learn from."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(F.pmod(doc_hash(), F.lit(4)) != 2)
-    share = min(1.0, sample / max(1, known.count()))
+    n = known.count()
+    share, shards = min(1.0, sample / max(1, n)), max(1, -(-min(n, sample) // SHARD_ROWS))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"shard": b.doc_id % SHARDS, "doc_id": b.doc_id, "toxic": b.toxic.astype("int32"), "at": [np.unique(features(t)).astype(np.int32) for t in b.text]})
+            yield pd.DataFrame({"shard": b.doc_id % shards, "doc_id": b.doc_id, "toxic": b.toxic.astype("int32"), "at": [np.unique(features(t)).astype(np.int32) for t in b.text]})
 
     return stored(texts.mapInPandas(hashed, "shard long, doc_id long, toxic int, at array<int>"), "toxic-training")
 
 
 def _shard_pass(state: Broadcast, turn: int):
-    """One pass of one shard from the shared state on, as a function of the shard's rows."""
+    """PASSES passes of one shard from the shared state on, as a function of the shard's rows."""
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         at, z0, n0 = state.value
         z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
         z[at], n[at] = z0, n0
-        order = np.lexsort((group.doc_id, [zlib.crc32(f"{turn}:{i}".encode()) for i in group.doc_id]))
-        ftrl_pass([(np.append(group["at"].iloc[k], _BIAS), group.toxic.iloc[k]) for k in order], z, n)
+        rows = [(np.append(at, _BIAS), y) for at, y in zip(group["at"], group.toxic)]
+        for k in range(PASSES):
+            order = np.lexsort((group.doc_id, [zlib.crc32(f"{turn}:{k}:{i}".encode()) for i in group.doc_id]))
+            ftrl_pass([rows[j] for j in order], z, n)
         at = np.flatnonzero(n)
         return pd.DataFrame({"at": [at.astype(np.int32).tobytes()], "z": [z[at].tobytes()], "n": [n[at].tobytes()], "rows": [len(group)]})
 
@@ -98,19 +101,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     """The weights that aren't zero: their features, in order, and values."""
     spark, rows = docs.sparkSession, training_rows(docs, labels, sample)
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for turn in range(PASSES):
+    for turn in range(ROUNDS):
         state = spark.sparkContext.broadcast((np.flatnonzero(n), z[n > 0], n[n > 0]))
 
-        states = rows.groupBy("shard").applyInPandas(_shard_pass(state, turn), "at binary, z binary, n binary, rows long").collect()  # at most SHARDS rows
+        states = rows.groupBy("shard").applyInPandas(_shard_pass(state, turn), "at binary, z binary, n binary, rows long").collect()  # SAMPLE / SHARD_ROWS rows
         z, n, heard = np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros(1 << BITS)
         for s in states:
             at = np.frombuffer(s["at"], np.int32)
             z[at] += np.frombuffer(s["z"])
             n[at] += np.frombuffer(s["n"])
             heard[at] += 1
-        # A coordinate's evidence adds up over the shards of the first pass and is averaged over the following ones.
+        # A coordinate's evidence adds up over the shards of the first round and is averaged over the following ones.
         if turn:
             z, n = z / np.maximum(heard, 1), n / np.maximum(heard, 1)
+    if not n.any():
+        return np.array([_BIAS]), np.array([-35.0])
     w = _weights(z, n)
     at = np.flatnonzero(w)
     return at, w[at]
@@ -143,7 +148,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.select("doc_id", F.coalesce(F.pmod(doc_hash(), F.lit(4)) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, reject: float = 0.5) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, reject: float = THRESHOLD) -> DataFrame:
     """The documents that score below `reject`, with their own columns."""
     out = scored(wrapped(docs, "text"), fit(docs, labels))
     return out.where(F.col("score") < reject).select("row.*")
