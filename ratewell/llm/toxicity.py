@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_hash, stored, wrapped
 
-BITS, SHARD_ROWS, ROUNDS, PASSES, SAMPLE = 20, 5_000, 2, 3, 20_000
+BITS, SHARD_ROWS, ROUNDS, PASSES, SAMPLE = 18, 5_000, 2, 3, 20_000
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
 # Letters lower-cased, all other ASCII but digits a space: bytes over 127 stay as they are.
@@ -92,7 +92,7 @@ def _shard_pass(state: Broadcast, turn: int):
             order = np.lexsort((group.doc_id, [zlib.crc32(f"{turn}:{k}:{i}".encode()) for i in group.doc_id]))
             ftrl_pass([rows[j] for j in order], z, n)
         at = np.flatnonzero(n)
-        return pd.DataFrame({"at": [at.astype(np.int32).tobytes()], "z": [z[at].tobytes()], "n": [n[at].tobytes()], "rows": [len(group)]})
+        return pd.DataFrame({"at": [at.astype(np.int32).tobytes()], "z": [z[at].astype(np.float32).tobytes()], "n": [n[at].astype(np.float32).tobytes()], "rows": [len(group)]})
 
     return learn
 
@@ -102,14 +102,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     spark, rows = docs.sparkSession, training_rows(docs, labels, sample)
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for turn in range(ROUNDS):
-        state = spark.sparkContext.broadcast((np.flatnonzero(n), z[n > 0], n[n > 0]))
+        state = spark.sparkContext.broadcast((np.flatnonzero(n).astype(np.int32), z[n > 0].astype(np.float32), n[n > 0].astype(np.float32)))
 
         states = rows.groupBy("shard").applyInPandas(_shard_pass(state, turn), "at binary, z binary, n binary, rows long").collect()  # SAMPLE / SHARD_ROWS rows
         z, n, heard = np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros(1 << BITS)
         for s in states:
             at = np.frombuffer(s["at"], np.int32)
-            z[at] += np.frombuffer(s["z"])
-            n[at] += np.frombuffer(s["n"])
+            z[at] += np.frombuffer(s["z"], np.float32)
+            n[at] += np.frombuffer(s["n"], np.float32)
             heard[at] += 1
         # A coordinate's evidence adds up over the shards of the first round and is averaged over the following ones.
         if turn:
