@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_hash, stored, wrapped
 
-BITS, SHARD_ROWS, ROUNDS, PASSES, SAMPLE = 18, 5_000, 2, 3, 20_000
+BITS, SHARD_ROWS, ROUNDS, PASSES, SAMPLE = 19, 5_000, 2, 3, 20_000
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
 # Letters lower-cased, all other ASCII but digits a space: bytes over 127 stay as they are.
