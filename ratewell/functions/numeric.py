@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from ratewell.schemas import NUMERIC
 
-# (37,9) +/- (37,9) is (38,9); (18,9) / (18,9) is (38,20); (38,9) / (38,9) would be (38,6).
+# (37,9) +/- (37,9) is (38,9); (33,9) * (4,0) is (38,9); an exact whole quotient survives (38,9) / (38,9), which is (38,6).
 _ADDITIVE = "decimal(37,9)"
-_DIVISIBLE = "decimal(18,9)"
+_REMAINDER = "decimal(33,9)"
 
 
 def numeric(value: Column) -> Column:
@@ -21,13 +21,24 @@ def difference(left: Column, right: Column) -> Column:
     return (left.cast(_ADDITIVE) - right.cast(_ADDITIVE)).cast(NUMERIC)
 
 
+def _minus(left: Column, right: Column) -> Column:
+    return left.cast(_ADDITIVE) - right.cast(_ADDITIVE)
+
+
 def safe_divide(left: Column, right: Column) -> Column:
-    """Quotient at nine places, NULL for a NULL or zero divisor. Operands of a thousand million and more do
-    not fit the narrow type; they take the wide division, which keeps six places."""
-    left, right = numeric(left), numeric(right)
-    narrow = F.try_divide(left.try_cast(_DIVISIBLE), right.try_cast(_DIVISIBLE)).try_cast(NUMERIC)
-    wide = F.try_divide(left, right).try_cast(NUMERIC)
-    return F.coalesce(narrow, wide)
+    """Quotient at nine places, rounded half up once, NULL for a NULL or zero divisor. The whole part and three groups
+    of three places come from exact remainders, the same way for operands of every size; a divisor of 10^24 and more
+    leaves no room for them and raises."""
+    left, right = numeric(left), F.nullif(numeric(right), numeric(F.lit(0)))
+    rest = left % right
+    quotient = numeric(_minus(left, rest) / right)
+    for place in ("0.001", "0.000001", "0.000000001"):
+        grown = (rest.cast(_REMAINDER) * F.lit(1000).cast("decimal(4,0)")).cast(NUMERIC)
+        rest = grown % right
+        digits = (_minus(grown, rest) / right).cast("decimal(4,0)")
+        quotient = numeric(quotient.cast(_ADDITIVE) + digits * F.lit(place).cast("decimal(9,9)"))
+    up = F.when(F.abs(rest.cast(_ADDITIVE)) * 2 >= F.abs(right.cast(_ADDITIVE)), F.signum(rest) * F.signum(right)).otherwise(0)
+    return numeric(quotient.cast(_ADDITIVE) + up.cast("decimal(1,0)") * F.lit("0.000000001").cast("decimal(9,9)"))
 
 
 def mean(total: Column, count: Column, most: int) -> Column:

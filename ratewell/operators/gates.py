@@ -64,10 +64,12 @@ def stage_gates(
     return totals.select(F.inline(checks))
 
 
-def required_gate(stage: DataFrame, required: Sequence[str]) -> DataFrame:
-    """(rate_date, check, status, missing): FAIL for a day that lacks a required code."""
-    return missing_by_day(stage, required).select(
-        "rate_date", F.lit("required").alias("check"), _status(F.size("missing") > 0), "missing"
+def required_gate(
+    stage: DataFrame, required: Sequence[str], days: Sequence[str] = ("rate_date",)
+) -> DataFrame:
+    """(day columns, check, status, missing): FAIL for a day that lacks a required code."""
+    return missing_by_day(stage, required, days).select(
+        *days, F.lit("required").alias("check"), _status(F.size("missing") > 0), "missing"
     )
 
 
@@ -177,7 +179,11 @@ def snapshot_audit(
     stored = files.select(
         F.col("path").alias("_path"), F.col("size").alias("_size"), recomputed.alias("_hash")
     )
-    checked = log.where(F.col(path).isNotNull()).join(stored, F.col(path) == F.col("_path"), "left")
+    # An empty path names no file: those rows stay out of the join, where they would be one key.
+    named = F.col(path).isNotNull() & (F.col(path) != "")
+    checked = log.where(named).join(stored, F.col(path) == F.col("_path"), "left")
+    nowhere = log.where(F.col(path) == "").select("*", *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+    checked = checked.unionByName(nowhere)
     check = F.when(F.col("_path").isNull(), "file_missing").when(
         ~F.col("_size").eqNullSafe(F.col(size)), "size_differs"
     )

@@ -102,8 +102,10 @@ def _rate_of(pairs: Column, code: Column) -> Column:
 
 def rate_map(pairs: Column) -> Column:
     """Map from code to rate of a pair array; of a code listed twice the last rate counts."""
-    codes = F.array_distinct(F.transform(pairs, lambda pair: pair["currency"]))
-    return F.map_from_arrays(codes, F.transform(codes, lambda code: _rate_of(pairs, code)))
+    # Sorted by code and place, a code's last pair is the one before another code: one sort instead of a search per code.
+    placed = F.sort_array(F.transform(pairs, lambda pair, i: F.struct(pair["currency"].alias("currency"), i.alias("i"), pair["rate"].alias("rate"))))
+    last = F.get(F.transform(F.array(placed), lambda s: F.filter(s, lambda pair, i: ~pair["currency"].eqNullSafe(F.get(s, i + 1)["currency"]) & pair["currency"].isNotNull())), 0)
+    return F.map_from_entries(F.transform(last, lambda pair: F.struct(pair["currency"], pair["rate"])))
 
 
 def required_jumps(rates: Column, base_rates: Column, required: Column) -> Column:

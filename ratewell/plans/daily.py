@@ -261,8 +261,8 @@ def run(
 def backfill(
     spark: SparkSession, root: str, days: Sequence[date | str], params: Params | None = None
 ) -> str:
-    """Load any set of days of the newest logged snapshot in one job and gate the loaded ones; days without data
-    are left as they are. Models are not built."""
+    """Load any set of days of the newest logged snapshot in one job and gate all of them: a day without data is left
+    as it is, and a working day among them fails. Models are not built."""
     params = params or Params()
     tables = Tables(spark, root)
     hash_id = ingest(tables, "backfill", None, params)
@@ -272,11 +272,10 @@ def backfill(
     stage = tables.source(STAGE).where(F.col("hash_id") == hash_id)
     load_days(stage, tables.path(CORE), tables.path(META), params, "backfill", days)
     wanted = spark.createDataFrame([(to_date(d),) for d in sorted(set(days), key=str)], "rate_date date")
-    loaded = stage.select("rate_date").distinct()
-    checked = wanted.join(loaded, "rate_date", "left_semi").withColumn(
-        "expected", is_expected(F.col("rate_date"), params.holidays)
-    )
+    checked = wanted.withColumn("expected", is_expected(F.col("rate_date"), params.holidays))
     meta = tables.find(META)
     if meta is not None:
         enforce(quality_gate(meta, checked, params, hash_id))
+    elif not checked.where("expected").isEmpty():
+        raise GateFailed(f"no meta row for any of {len(days)} days")
     return hash_id

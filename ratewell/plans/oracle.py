@@ -286,9 +286,14 @@ def diff(eps_cents: str) -> str:
 
 _SUMMARY = "SELECT diff_type, count(*) AS cnt FROM diff GROUP BY 1"
 
-ABSENT_LINES = f"""absent AS (
-  SELECT d.rate_date, code FROM (SELECT DISTINCT rate_date FROM published) d, (VALUES {_LINE_CODES}) AS r(code)
-  WHERE NOT EXISTS (SELECT 1 FROM published t WHERE t.rate_date = d.rate_date AND t.currency = code))"""
+ABSENT_LINES = f"""both_sides AS (
+  SELECT rate_date, currency, 'published' AS hash_id FROM published
+  UNION ALL SELECT rate_date, currency, 'loaded' FROM loaded),
+absent AS (
+  SELECT d.rate_date, d.hash_id, code
+  FROM (SELECT DISTINCT rate_date, hash_id FROM both_sides) d, (VALUES {_LINE_CODES}) AS r(code)
+  WHERE NOT EXISTS (
+    SELECT 1 FROM both_sides t WHERE t.rate_date = d.rate_date AND t.hash_id = d.hash_id AND t.currency = code))"""
 
 
 def replaced(day_rule: str) -> str:
@@ -364,12 +369,12 @@ SELECT "check", CASE WHEN failed THEN 'FAIL' ELSE 'PASS' END AS status, observed
 CAST(date_trunc('month', rate_date) AS DATE) AS rate_month FROM rates""",
     "day_meta": f"""WITH {META} SELECT rate_date, 'scheduled' AS run_type, '{SNAPSHOT}' AS hash_id, row_count,
 currency_count, rates, '{",".join(PARAMS.required)}' AS required_curr FROM meta""",
-    "missing_required": f"WITH {LINES}, {ABSENT_LINES} SELECT rate_date, code AS missing_currency FROM absent",
+    "missing_required": f"WITH {LINES}, {ABSENT_LINES} SELECT rate_date, hash_id, code AS missing_currency FROM absent",
     "required_gate": f"""WITH {LINES}, {ABSENT_LINES}, named AS (
-  SELECT rate_date, string_agg(code, ',' ORDER BY code) AS missing FROM absent GROUP BY 1)
-SELECT rate_date, 'required' AS "check", CASE WHEN missing IS NULL THEN 'PASS' ELSE 'FAIL' END AS status,
+  SELECT rate_date, hash_id, string_agg(code, ',' ORDER BY code) AS missing FROM absent GROUP BY 1, 2)
+SELECT rate_date, hash_id, 'required' AS "check", CASE WHEN missing IS NULL THEN 'PASS' ELSE 'FAIL' END AS status,
        coalesce(missing, '') AS missing
-FROM (SELECT DISTINCT rate_date FROM published) LEFT JOIN named USING (rate_date)""",
+FROM (SELECT DISTINCT rate_date, hash_id FROM both_sides) LEFT JOIN named USING (rate_date, hash_id)""",
     "baseline_asof": f"WITH {META} SELECT rate_date, baseline_date, row_count, base_row_count FROM based",
     "baseline_date": f"""WITH {RATES} SELECT max(rate_date) AS baseline_date FROM rates
 WHERE rate_date < (SELECT max(rate_date) FROM rates)""",
@@ -393,7 +398,7 @@ SELECT rate_date, currency, {money('stage_cents')} AS stage_rate, {money('core_c
 FROM diff""",
     "replace_days": f"""WITH {LINES}, {replaced('dayofweek(rate_date) BETWEEN 1 AND 5')}
 SELECT rate_date, currency, {money('cents')} AS rate, hash_id FROM core""",
-    "backfill_days": f"""WITH {LINES}, {ABSENT_LINES}, {replaced('rate_date NOT IN (SELECT rate_date FROM absent)')},
+    "backfill_days": f"""WITH {LINES}, {ABSENT_LINES}, {replaced("rate_date NOT IN (SELECT rate_date FROM absent WHERE hash_id = 'published')")},
 marked AS (
   SELECT rate_date, count(*) AS meta_rows FROM published WHERE rate_date IN (SELECT rate_date FROM days) GROUP BY 1)
 SELECT rate_date, currency, {money('cents')} AS rate, hash_id, meta_rows FROM core LEFT JOIN marked USING (rate_date)""",

@@ -172,13 +172,14 @@ def q_day_meta(spark, sf_dir):
 
 
 def q_missing_required(spark, sf_dir):
-    _, published = views.line_publications(spark, sf_dir)
-    return missing_required(published, LINE_CODES)
+    loaded, published = views.line_publications(spark, sf_dir)
+    return missing_required(loaded.unionByName(published), LINE_CODES, ("rate_date", "hash_id"))
 
 
 def q_required_gate(spark, sf_dir):
-    _, published = views.line_publications(spark, sf_dir)
-    return required_gate(published, LINE_CODES).withColumn("missing", F.array_join("missing", ","))
+    loaded, published = views.line_publications(spark, sf_dir)
+    both = loaded.unionByName(published)
+    return required_gate(both, LINE_CODES, ("rate_date", "hash_id")).withColumn("missing", F.array_join("missing", ","))
 
 
 def q_baseline_asof(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
@@ -68,8 +69,12 @@ def newest_path(spark: SparkSession, directory: str) -> str | None:
     return newest and newest["path"]
 
 
-def scan_archives(spark: SparkSession, directory: str, max_size: int) -> DataFrame:
-    return identify(landed_files(spark, directory), max_size)
+def scan_archives(spark: SparkSession, directory: str, max_size: int, strict: bool = True) -> DataFrame:
+    """The identified archives of a folder. Strict: a file of an unacceptable size raises; otherwise `refused` lists it."""
+    files = landed_files(spark, directory)
+    if strict and (bad := refused(files, max_size).first()):
+        raise ValueError(f"{bad['path']}: {bad['error']} ({bad['size']} bytes)")
+    return identify(files, max_size)
 
 
 def log_rows(archives: DataFrame) -> DataFrame:
@@ -101,34 +106,33 @@ def sole_member(content: bytes) -> tuple[str, str]:
     return name, data.decode("utf-8-sig")
 
 
+# What must hold of a header, by name. Each rule sees the trimmed names, the last being TRAILING_COLUMN if it had none.
+_HEADER_RULES = (
+    ("the first column is Date", lambda names: names[0] == DATE_COLUMN),
+    ("there is no name left out", lambda names: all(names)),
+    ("no name occurs twice", lambda names: len(names) == len(set(names))),
+    ("series are codes of three capitals", lambda names: all(re.fullmatch("[A-Z]{3}", n) for n in names[1:] if n and n != TRAILING_COLUMN)),
+)
+
+
 def header_layout(text: str) -> tuple[list[str], str]:
-    """Column names and delimiter of a wide CSV: the first delimiter that splits the header and the first row
-    into equally many fields, two at least."""
-    lines = list(islice((ln for ln in io.StringIO(text, newline=None) if ln.strip()), 2))
-    if len(lines) < 2:
-        raise ValueError("a header and one row are needed")
-    for delimiter in DELIMITERS:
-        names, values = csv.reader([ln.rstrip("\n") for ln in lines], delimiter=delimiter, quotechar=QUOTE)
-        if 2 <= len(names) == len(values):
-            return _checked_names([n.strip() for n in names], values[-1].strip()), delimiter
-    raise ValueError("no delimiter fits the header and the first row")
-
-
-def _checked_names(names: list[str], last_value: str) -> list[str]:
-    if not names[-1]:
-        if last_value:
-            raise ValueError("the trailing column without a name holds a value")
-        names = [*names[:-1], TRAILING_COLUMN]
-    if "" in names:
-        raise ValueError("a column has no name")
-    if len(set(names)) < len(names):
-        raise ValueError("a column name occurs twice")
-    if names[0] != DATE_COLUMN:
-        raise ValueError(f"the first column is {names[0]!r}, not {DATE_COLUMN!r}")
-    for name in names[1:]:
-        if name != TRAILING_COLUMN and not (len(name) == 3 and name.isalpha() and name.isupper()):
-            raise ValueError(f"column {name!r} is not a code of three capitals")
-    return names
+    """Column names and delimiter of a wide CSV. Every delimiter is tried on the first two filled lines; the first that
+    gives two equally wide rows of two fields or more counts. All rules that the header breaks are named."""
+    filled = list(islice(filter(str.strip, io.StringIO(text, newline=None)), 2))
+    grids = {d: list(csv.reader((line.rstrip("\n") for line in filled), delimiter=d, quotechar=QUOTE)) for d in DELIMITERS}
+    fitting = [d for d, grid in grids.items() if len({len(row) for row in grid}) == 1 and len(grid) == 2 and len(grid[0]) > 1]
+    if not fitting:
+        raise ValueError("no delimiter gives a header and one row of equally many fields, two at least")
+    header, values = ([cell.strip() for cell in row] for row in grids[fitting[0]])
+    broken = []
+    if header[-1] == "":
+        header[-1] = TRAILING_COLUMN
+        if values[-1]:
+            broken.append("a trailing column without a name is empty")
+    broken += [rule for rule, holds in _HEADER_RULES if not holds(header)]
+    if broken:
+        raise ValueError("the header breaks: " + "; ".join(broken))
+    return header, fitting[0]
 
 
 def _open(hash_id: str, content: bytes) -> dict:
@@ -209,8 +213,11 @@ def layouts(members: DataFrame) -> list[tuple[str, list[str], str]]:
     return [(row["layout"], list(row["columns"]), row["delimiter"]) for row in headers.collect()]
 
 
-def snapshots_long(members: DataFrame) -> DataFrame:
-    """The long text rows of all valid members of a stored members table."""
+def snapshots_long(members: DataFrame, strict: bool = True) -> DataFrame:
+    """The long text rows of all valid members of a stored members table. Strict: a rejected archive raises; otherwise
+    `rejected` lists it."""
+    if strict and (bad := rejected(members).first()):
+        raise ValueError(f"archive {bad['hash_id']}: {bad['error']}")
     found = [to_long(load_raw(members, *layout)) for layout in layouts(members)]
     if not found:
         raise ValueError("no valid member")

@@ -1,5 +1,6 @@
-"""Writes: replace, promote, replace-day, append-missing. All go through Spark writers, so a lost task is
-redone by Spark and a failed job leaves the target as it was."""
+"""Writes: replace, promote, replace-day, append-missing. All go through Spark writers, so a lost task is redone by
+Spark. A replaced table is moved aside and deleted only once its successor is in place; if the driver is lost in between,
+the next reader or writer moves it back (`tables.find_table`)."""
 
 from __future__ import annotations
 
@@ -11,13 +12,8 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.calendars import month_start
 from ratewell.operators.gates import enforce
-from ratewell.operators.upserts import missing_rows
-from ratewell.sources.tables import find_table
-
-
-def _located(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+from ratewell.operators.upserts import missing_rows, one_per_key
+from ratewell.sources.tables import ASIDE, find_table, located as _located, restore
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -29,8 +25,8 @@ def swap_in(spark: SparkSession, written: str, target: str) -> None:
     """Put the finished table `written` in the place of `target` by renaming folders."""
     files, new = _located(spark, written)
     _, old = _located(spark, target)
-    _, aside = _located(spark, target.rstrip("/") + "__replaced")
-    files.delete(aside, True)
+    _, aside = _located(spark, target.rstrip("/") + ASIDE)
+    restore(spark, target)
     had_old = files.exists(old)
     if had_old and not files.rename(old, aside):
         raise OSError(f"cannot move {target} aside")
@@ -92,7 +88,8 @@ def promote(
     beside = path.rstrip("/") + "__candidate"
     try:
         write(candidate, beside)
-        enforce(gates(spark.read.parquet(beside)))
+        schema = candidate.schema if write is not write_stage else candidate.withColumn("rate_month", month_start(F.col("rate_date"))).schema
+        enforce(gates(spark.read.schema(schema).parquet(beside)))
         swap_in(spark, beside, path)
     finally:
         drop_path(spark, beside)
@@ -154,5 +151,5 @@ def replace_partition(df: DataFrame, path: str, column: str, value: date | str)
 def insert_missing(new: DataFrame, path: str, key: str = "hash_id") -> None:
     """Append the rows whose key the table lacks."""
     stored = find_table(new.sparkSession, path)
-    rows = new.dropDuplicates([key]) if stored is None else missing_rows(stored, new, key)
+    rows = one_per_key(new, key) if stored is None else missing_rows(stored, new, key)
     rows.write.mode("append").parquet(path)

@@ -9,11 +9,13 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewell.functions.calendars import to_date
 from ratewell.schemas import INGESTION_LOG
 
-LOG_FIELDS = tuple(INGESTION_LOG.fieldNames())
+#: Suffix of the folder in which a table stands aside while its successor is moved in.
+ASIDE = "__replaced"
 
 
 @dataclass(frozen=True)
@@ -27,14 +29,35 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
     def source(self, name: str) -> DataFrame:
+        restore(self.spark, self.path(name))
         return self.spark.read.parquet(self.path(name))
 
     def find(self, name: str) -> DataFrame | None:
         return find_table(self.spark, self.path(name))
 
 
+def located(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Ends a replacement that was broken off: without a table at `path` the one aside goes back to its place, else it
+    is the predecessor and goes."""
+    files, table = located(spark, path)
+    _, aside = located(spark, path.rstrip("/") + ASIDE)
+    if files.exists(aside):
+        if files.exists(table):
+            files.delete(aside, True)
+        elif not files.rename(aside, table):
+            raise OSError(f"cannot move {path} back")
+
+
 def find_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at `path`, or None where nothing is stored yet."""
+    """The table at `path`, or None where nothing is stored yet. A table left aside by a broken-off replacement is
+    moved back first."""
+    restore(spark, path)
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
@@ -68,13 +91,14 @@ def present_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def _log_columns(fields: Sequence[str]) -> list[str]:
+    """The part of the log's schema that is asked for, always with its key; the schema itself raises on other names."""
+    part = T.StructType([INGESTION_LOG["hash_id"]])
+    for field in fields:
+        if field not in part.names:
+            part = part.add(INGESTION_LOG[field])
     if not fields:
-        raise ValueError("name at least one field")
-    names = list(dict.fromkeys(["hash_id", *fields]))
-    unknown = sorted(set(names) - set(LOG_FIELDS))
-    if unknown:
-        raise ValueError(f"not fields of the ingestion log: {unknown}")
-    return names
+        raise ValueError("an empty list of log fields")
+    return part.names
 
 
 def latest_snapshot(log: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
-from ratewell.sources.archives import identify, log_rows
+from ratewell.sources.archives import identify, log_rows, refused
 from ratewell.sources.sinks import insert_missing
 
 # Columns of Spark's binaryFile source.
@@ -27,13 +27,15 @@ def landing_files(spark: SparkSession, directory: str, files_per_batch: int = 10
     )
 
 
-def land_stream(files: DataFrame, log_path: str, checkpoint: str, max_size: int) -> StreamingQuery:
+def land_stream(files: DataFrame, log_path: str, checkpoint: str, max_size: int, refused_path: str | None = None) -> StreamingQuery:
     """Log the archives of a stream with the binaryFile columns, up to what is there now. The stream checkpoint
     skips files already seen; the anti join with the log skips contents already seen, also when a batch is run
-    again after a failure."""
+    again after a failure. Files of a size that no archive may have go to a table of their own (`refused_path`, by
+    default beside the log), one row each."""
 
     def log_batch(batch: DataFrame, _: int) -> None:
         insert_missing(log_rows(identify(batch, max_size)), log_path)
+        insert_missing(refused(batch, max_size), refused_path or log_path.rstrip("/") + "__refused", "path")
 
     return (
         files.writeStream.foreachBatch(log_batch)
