@@ -14,6 +14,8 @@ themselves. Very long texts are cut into as many full sequences as they need. No
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,29 +28,49 @@ from .common import stored
 LENGTH, END, STEP = 2048, 1, 16
 CLASSES = LENGTH // STEP
 TOKENIZER = "word_bpe_49k.json"
-#: Words that a task remembers with their ids, and characters encoded at once.
-REMEMBERED, SLAB = 400_000, 1 << 20
+#: Words that a worker remembers with their ids, characters taken at once, words in one call of the tokenizer.
+REMEMBERED, SLAB, TOGETHER = 800_000, 1 << 20, 2_000
 
 
 # --- tokens ------------------------------------------------------------------------------------------------
 
 class Encoder:
-    """Ids of whole texts. The tokenizer never looks across a space, so every distinct word is encoded once per task."""
+    """Ids of whole texts. The tokenizer never looks across a space, and takes a mark after an ASCII letter or digit as a
+    token of its own, so every distinct core of a word is encoded once, in lower case."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(words))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = e.ids
-        return [known[w] for w in words]
+        self.tokenizer, self.known, self.cores = Tokenizer.from_file(path), {}, {}
+
+    def learn(self, words: list[str]) -> None:
+        parts = {}
+        for w in words:
+            low = w.lower() if w.isascii() else w  # beyond ASCII the tokenizer's own order of normalising counts
+            marked = len(low) > 1 and low[-1] in ".,!?;:" and low[-2].isascii() and low[-2].isalnum()
+            parts[w] = (low[:-1], low[-1]) if marked else (low, "")
+        new = [c for c in {c for pair in parts.values() for c in pair} if c not in self.cores]
+        # Many words in one call, joined by spaces: a call costs far more than a word. Tokens go back by their offsets.
+        for lo in range(0, len(new), TOGETHER):
+            some = new[lo:lo + TOGETHER]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.cumsum([0, *[len(c) + 1 for c in some]])
+            ends = np.searchsorted([b for b, _ in e.offsets], begins)
+            ids = np.array(e.ids, np.uint32)
+            for c, a, b in zip(some, ends, ends[1:]):
+                self.cores[c] = ids[a:b].tobytes()
+        for w, (core, mark) in parts.items():
+            self.known[w] = self.cores[core] + self.cores[mark]
+
+    def encoded(self, words: list[str]) -> bytes:
+        new = set(words).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            self.cores.clear()
+            new = set(words)
+        if new:
+            self.learn(list(new))
+        return b"".join(map(self.known.__getitem__, words))
 
     def ids(self, text: str) -> np.ndarray:
         parts, at = [], 0
@@ -56,10 +78,17 @@ class Encoder:
             to = at + SLAB if at + SLAB < len(text) else len(text)
             if to < len(text):
                 to = text.find(" ", to) + 1 or len(text)
-            flat = [i for ids in self.words(text[at:to].replace("\n", " ").split(" ")) for i in ids]
-            parts.append(np.array(flat, np.uint32))
+            parts.append(self.encoded(text[at:to].replace("\n", " ").split(" ")))
             at = to
-        return np.concatenate([*parts, np.array([END], np.uint32)]).astype("<u4")
+        return np.append(np.frombuffer(b"".join(parts), np.uint32), np.uint32(END)).astype("<u4")
+
+
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per Python worker, which Spark keeps for many tasks: what it remembers outlives a task."""
+    kept = sys.modules.setdefault("_ratewell_worker", types.ModuleType("_ratewell_worker")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -72,7 +101,7 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZ
     """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32-bit) of every piece of every document."""
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer_path(tokenizer))
+        encoder = worker_encoder(tokenizer_path(tokenizer))
         for b in batches:
             rows = []
             for doc, text in zip(b.doc_id, b.text):
