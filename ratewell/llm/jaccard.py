@@ -1,13 +1,14 @@
 """N-gram Jaccard join: MinHash LSH forest over word shingles, then exact verification.
 
 Equal texts form one node, so copies cost one row each and never meet in pairs. Of every node a MinHash signature is cut
-into TREES label sequences of DEPTH hashes: the sorted prefix tries of an LSH forest. The shortest prefix is the longest one
-at which a pair of the wanted similarity meets in some tree with the target recall. Inside a node's trie each text first
-meets those that share its longest prefix (its successors in sorted order); in groups of up to SMALL texts the prefix is
-shortened until all of the group have met. In larger groups, where prefixes alone would pair all with all, a text meets its
-nearest successors and the group's hub, the first text of the most frequent full-depth prefix: in a group of near copies
-that is the text they were copied from. Every candidate pair is then verified on the exact shingle sets; classes are the
-connected components of the verified links.
+into TREES label sequences of DEPTH hashes: the sorted prefix tries of an LSH forest. The matched prefix is shortened from
+the full depth until a pair of the wanted similarity meets in some tree with the target recall. In groups of up to SMALL
+texts under that prefix all meet, and each pair is verified on the exact shingle sets.
+
+Larger groups emit no pairs. The groups that share a text make one crowd. A crowd is cut by a hash into blocks of about BLOCK
+texts and BLOCK_CHARS characters, and every two blocks meet in one task, which compares all their texts exactly. It returns
+the number of links of each text and the links of a spanning forest, so its output is as long as its input, and neither a
+link count nor a class is lost, whatever the size of the crowd. Classes are the connected components of all links.
 
 Shingles are five words (split at white space, lower case); a shorter text is one shingle of all its words, an empty or null
 text has none and is only in a class with other empty texts. Null ids take part as texts; a class's id is its smallest id.
@@ -22,13 +23,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, wrapped
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
-TREES, DEPTH, SMALL, NEAREST = 24, 8, 16, 5
+TREES, DEPTH, SMALL = 24, 8, 16
+BLOCK, BLOCK_CHARS = 128, 2_000_000
 _A, _B = (np.random.RandomState(seed).randint(1, 1 << 31, TREES * DEPTH).astype(np.uint64) * np.uint64(2) + np.uint64(1) for seed in (7, 8))
 
 
@@ -90,19 +92,61 @@ def forest(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(branches, "node binary, tree int, prefix long, path binary")
 
 
-def candidates(branches: DataFrame) -> DataFrame:
-    """Pairs (a, b) with a < b, each once."""
-    group = Window.partitionBy("prefix")
-    trie = group.orderBy("path", "node")
-    # Branches that meet nobody go in the first aggregation; the hub is the first text of the most frequent path.
-    paths = branches.groupBy("prefix", "path").agg(F.count("*").alias("n"), F.min("node").alias("first"))
-    hubs = paths.groupBy("prefix").agg(F.sum("n").alias("size"), F.min_by("first", F.struct(-F.col("n"), F.col("path"))).alias("hub")).where("size > 1")
-    met = branches.select("prefix", "path", "node").join(hubs, "prefix")
-    after = F.collect_list("node").over(trie.rowsBetween(1, SMALL - 1))
-    near = met.select("node", "size", "hub", after.alias("after"))
-    other = F.when(F.col("size") <= SMALL, F.col("after")).otherwise(F.concat(F.slice("after", 1, NEAREST), F.array("hub")))
-    pairs = near.select("node", F.explode(other).alias("other")).where("node <> other")
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+def groups(branches: DataFrame) -> DataFrame:
+    """prefix, n and leader (the first leaf of the trie below the prefix) of the prefixes under which texts meet."""
+    return branches.groupBy("prefix").agg(F.count("*").alias("n"), F.min_by("node", F.struct("path", "node")).alias("leader")).where("n > 1")
+
+
+def crowds(branches: DataFrame) -> DataFrame:
+    """node, root: the texts of the large groups; groups that share a text have the same root."""
+    large = groups(branches).where(F.col("n") > SMALL).select("prefix", "leader")
+    return components(branches.join(large, "prefix").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+
+
+def candidates(branches: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Pairs (a, b) with a < b that meet in a small group, each once, but for those of one crowd."""
+    small = groups(branches).where(F.col("n") <= SMALL).select("prefix")
+    met = branches.join(small, "prefix").groupBy("prefix").agg(F.sort_array(F.collect_list("node")).alias("nodes"))  # SMALL at most
+    firsts = met.select("nodes", F.posexplode("nodes").alias("k", "a"))
+    pairs = firsts.select("a", F.explode(F.slice("nodes", F.col("k") + 2, F.lit(SMALL))).alias("b")).distinct()
+    of_a, of_b = crowd.select(F.col("node").alias("a"), F.col("root").alias("crowd_a")), crowd.select(F.col("node").alias("b"), F.col("root").alias("crowd_b"))
+    apart = F.coalesce(F.col("crowd_a") != F.col("crowd_b"), F.lit(True))
+    return pairs.join(of_a, "a", "left").join(of_b, "b", "left").where(apart).select("a", "b")
+
+
+def crowd_links(crowd: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Rows (a, b, n): b null and n the number of a's links in one pair of blocks, or a link of the spanning forest and 0."""
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        nodes, block = list(group.node), group.block.to_numpy()
+        sets = [shingles(t) for t in group.text]
+        size = np.array([len(s) for s in sets])
+        values, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), size)
+        inside = block.min() == block.max()
+        links, label, out = np.zeros(len(sets), int), np.arange(len(sets)), []
+        for x in np.flatnonzero(block == block.min()):
+            held = np.zeros(len(values), bool)
+            held[np.searchsorted(values, sets[x])] = True
+            both = np.bincount(owner[held[inverse]], minlength=len(sets))
+            near = both >= similarity * (size + size[x] - both)
+            near &= np.arange(len(sets)) > x if inside else block != block[x]
+            at = np.flatnonzero(near)
+            links[x] += len(at)
+            links[at] += 1
+            for old, first in zip(*np.unique(label[at], return_index=True)):
+                if old != label[x]:
+                    out.append((nodes[x], nodes[at[first]], 0))
+                    label[label == old] = label[x]
+        out += [(nodes[k], None, int(links[k])) for k in np.flatnonzero(links)]
+        return pd.DataFrame(out, columns=["a", "b", "n"])
+
+    rows = stored(crowd.join(texts, "node").select("root", "node", "text"), "near-crowds")
+    blocks = rows.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("text")) / BLOCK_CHARS)).cast("int").alias("blocks"))
+    own = rows.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = met.select("root", "node", "text", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+    return pairs.groupBy("root", "one", "two").applyInPandas(compare, "a binary, b binary, n long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -155,11 +199,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.unhex(F.md5("text")))
     members = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"), F.min(F.length("text")).alias("chars")), "near-nodes")
     texts = _one_text_each(rows, members)
-    pairs = stored(candidates(stored(forest(texts), "near-branches")), "near-pairs")
-    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    branches = stored(forest(texts), "near-branches")
+    crowd = crowds(branches)
+    pairs = stored(candidates(branches, crowd), "near-pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionAll(crowd.select("node")).distinct()
     texts = stored(texts.join(met, "node", "left_semi"), "near-texts")
-    links = stored(verified(pairs, texts), "near-links")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    found = stored(verified(pairs, texts).select("a", "b", F.lit(1).cast("long").alias("n")).unionAll(crowd_links(crowd, texts)), "near-links")
+    links = found.where("b is not null").select("a", "b")
+    ends = found.select(F.explode(F.array("a", "b")).alias("node"), "n").where("node is not null").groupBy("node").agg(F.sum("n").alias("n_links"))
     roots = components(links)
     named = roots.join(members, "node").groupBy("root").agg(F.min("first_id").alias("class_id"))
     linked = roots.join(named, "root").join(ends, "node").select("node", "n_links", "class_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import math
 import re
 import zlib
@@ -96,6 +97,28 @@ def test_jaccard_classes(spark, texts):
     assert 1 - (1 - 0.8 ** jaccard.shortest_prefix()) ** jaccard.TREES >= 0.999
 
 
+def test_crowds_lose_no_link(spark, monkeypatch):
+    """300 near copies of two texts: more than a small group holds, in many pairs of blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    rng, rows = np.random.RandomState(5), []
+    for doc in range(300):
+        words = [f"w{doc % 2}x{k}" for k in range(120)]
+        for k in rng.choice(120, rng.randint(0, 6), replace=False):
+            words[k] = f"new{rng.randint(10**6)}"
+        rows.append((doc, " ".join(words)))
+    sets = {doc: set(jaccard.shingles(text).tolist()) for doc, text in rows}
+    texts = dict(rows)
+    links = collections.Counter()
+    for a, b in itertools.combinations({min(d for d in texts if texts[d] == t) for t in texts.values()}, 2):
+        both = len(sets[a] & sets[b])
+        if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+            links[a] += 1
+            links[b] += 1
+    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_links for r in got} == {r.doc_id: links[r.copy_of] for r in got} and len(got) == 300
+    assert {r.class_id for r in got if r.n_links} == {0, 1}
+
+
 def test_url_model_agrees_with_labels(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = [r for r in urls.judge(pages).collect() if r.rule]
