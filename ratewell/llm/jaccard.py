@@ -100,7 +100,9 @@ def groups(branches: DataFrame) -> DataFrame:
 def crowds(branches: DataFrame) -> DataFrame:
     """node, root: the texts of the large groups; groups that share a text have the same root."""
     large = groups(branches).where(F.col("n") > SMALL).select("prefix", "leader")
-    return components(branches.join(large, "prefix").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+    led = stored(branches.join(large, "prefix").groupBy("node").agg(F.collect_set("leader").alias("leaders"), F.min("leader").alias("first")), "near-led")  # TREES leaders at most
+    joined = components(led.select(F.explode("leaders").alias("a"), F.col("first").alias("b")).where("a <> b").distinct())
+    return led.join(joined.select(F.col("node").alias("first"), "root"), "first", "left").select("node", F.coalesce("root", "first").alias("root"))
 
 
 def candidates(branches: DataFrame, crowd: DataFrame) -> DataFrame:
@@ -180,17 +182,23 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, root: the smallest node that links lead to. Labels jump over labels, so rounds grow with the logarithm of
-    the longest chain; each round is written to the shared folder."""
-    edges = stored(links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(links.select(F.col("b").alias("node"), F.col("a").alias("other"))), "links")
-    roots = stored(edges.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")), "roots")
+    """node, root: the smallest node that links lead to. In each round every node moves to its smallest neighbour's smallest
+    neighbour and the links are drawn anew between the nodes that are left, once each: they shrink by a share in every round.
+    Rounds are written to the shared folder."""
+    edges = stored(links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(links.select(F.col("b").alias("node"), F.col("a").alias("other"))), "edges")
+    roots = None
     while True:
-        seen = edges.join(roots.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("m"))
-        lower = roots.join(seen, "node").select("node", F.least("root", "m").alias("next"), F.col("root").alias("was"))
-        top = roots.select(F.col("node").alias("next"), F.col("root").alias("jump"))
-        moved = stored(lower.join(top, "next").select("node", F.least("next", "jump").alias("root"), "was"), "roots")
-        roots = moved.select("node", "root")
-        if moved.where("root <> was").isEmpty():
+        low = edges.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("up"))
+        moves = stored(low.join(low.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", "top"), "moves")
+        if roots is None:
+            roots = moves.select("node", F.col("top").alias("root"))
+        else:
+            further = moves.select(F.col("node").alias("root"), "top")
+            roots = stored(roots.join(further, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+        ends = moves.select(F.col("node").alias("other"), F.col("top").alias("end"))
+        moved = edges.join(moves, "node").select(F.col("top").alias("node"), "other").join(ends, "other")
+        edges = stored(moved.where("node <> end").select("node", F.col("end").alias("other")).distinct(), "edges")
+        if edges.isEmpty():
             return roots
 
 
