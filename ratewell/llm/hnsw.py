@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by inner product: a hierarchical navigable small-world graph per shard.
 
 Equal vectors are one node with its smallest ids, as many as a result can name. Nodes are dealt into shards of a bounded
-size; a task builds the shard's graph as flat arrays (one row of neighbours per node and level), and searches it for all
-queries at once. Vectors get one more component that makes their norms equal, so that the largest inner product is the
+size; a task builds the shard's graph once as flat arrays (one row of neighbours per node and level), which is written in
+rows of PART nodes. Queries are dealt into blocks of about BLOCK; a search task reads one shard's graph and one block, so
+that neither the queries nor the results of a task grow with the table. Vectors get one more component that makes their norms equal, so that the largest inner product is the
 shortest distance. The shards' results are merged and scored in double precision on the original vectors.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id. Repeated rows
@@ -22,6 +23,7 @@ from .common import stored
 
 TOP, EVERY = 20, 20
 SHARD, DEGREE, BUILD, BEAM, FANOUT = 4096, 20, 64, 96, 16
+BLOCK, PART = 1024, 256
 
 
 class Graph:
@@ -39,6 +41,14 @@ class Graph:
             self._insert(batch, done)
             done += len(batch)
 
+    @classmethod
+    def read(cls, x: np.ndarray, entry: int, links: np.ndarray) -> Graph:
+        """A graph that was built before: its entry and the neighbours of all levels side by side, the lowest first."""
+        graph = cls.__new__(cls)
+        graph.x, graph.order = x, np.array([entry])
+        graph.levels = [links[:, :2 * DEGREE], *[links[:, lo:lo + DEGREE] for lo in range(2 * DEGREE, links.shape[1], DEGREE)]]
+        return graph
+
     def _insert(self, batch: np.ndarray, done: int) -> None:
         """Search the graph of the nodes so far for the whole batch, then link it, also among itself."""
         entry = np.repeat(self.order[:1], len(batch))
@@ -145,32 +155,41 @@ def named(rows: DataFrame, most: int) -> DataFrame:
     return rows.groupBy("key").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # at most `most`
 
 
-def nearest(rows: DataFrame, queries: DataFrame, top: int = TOP, shard: int = SHARD) -> DataFrame:
-    """query_id, rank, vec_id, score of the `top` nearest rows other than the query's own. queries: vec_id, embedding."""
-    asked = usable(queries).dropDuplicates(["vec_id", "key"])
-    known = usable(rows)
-    nodes = stored(known.groupBy("key").agg(F.first("v").alias("v")).join(named(known, top + 1), "key"), "ann-nodes")
-    shards = max(1, -(-nodes.count() // shard))
-    asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("key").alias("q_key")), "ann-queries")
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-    # The stated query set against every shard, in blocks of bounded size.
-    distinct = asked.select("q", "q_key").dropDuplicates(["q_key"])
-    blocks = max(1, -(-distinct.count() // 1024))
-    blocked = distinct.withColumn("block", F.pmod(F.xxhash64("q_key"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+def lifted(v: np.ndarray) -> np.ndarray:
+    """Unit-norm single-precision rows: one more component makes the norms equal."""
+    norms = (v * v).sum(axis=1)
+    return (np.c_[v, np.sqrt(np.maximum(norms.max() - norms, 0))] / np.sqrt(norms.max())).astype(np.float32)
+
+
+def graphs(nodes: DataFrame, shards: int) -> DataFrame:
+    """size, shard, part and the entry, vectors, neighbours, keys and ids of PART nodes of the shard's graph."""
+
+    def built(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("key")
+        v = np.array(own.v.tolist(), np.float64)
+        graph = Graph(lifted(v))
+        links, rows = np.concatenate(graph.levels, axis=1), []
+        for part, lo in enumerate(range(0, len(own), PART)):
+            some = own.iloc[lo:lo + PART]
+            rows.append((some["size"].iloc[0], some.shard.iloc[0], part, int(graph.order[0]), v[lo:lo + PART].tobytes(), links[lo:lo + PART].tobytes(), list(some.key), list(some.ids)))
+        return pd.DataFrame(rows, columns=["size", "shard", "part", "entry", "v", "links", "keys", "ids"])
+
+    dealt = nodes.withColumn("size", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+    return dealt.groupBy("size", "shard").applyInPandas(built, "size int, shard int, part int, entry int, v binary, links binary, keys array<binary>, ids array<array<long>>")
+
+
+def searched(parts: DataFrame, distinct: DataFrame, top: int, block: int) -> DataFrame:
+    """q_key, key, ids, score: the best top + 1 nodes of every shard, one task for each shard and block of queries."""
 
     def found(own: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for size, part in own.groupby(own.v.map(len)):
-            mine = asks[asks.q.map(len) == size]
-            if not len(mine):
-                continue
-            v = np.array(part.v.tolist(), np.float64)
-            norms = (v * v).sum(axis=1)
-            lifted = np.c_[v, np.sqrt(np.maximum(norms.max() - norms, 0))]
-            graph = Graph((lifted / np.sqrt(norms.max())).astype(np.float32))
-            q = np.array(mine.q.tolist(), np.float64)
+        if len(own) and len(asks):
+            own, size = own.sort_values("part"), int(own["size"].iloc[0])
+            v = np.frombuffer(b"".join(own.v)).reshape(-1, size)
+            graph = Graph.read(lifted(v), int(own.entry.iloc[0]), np.frombuffer(b"".join(own.links), np.int32).reshape(len(v), -1))
+            keys, ids = [k for some in own["keys"] for k in some], [i for some in own.ids for i in some]
+            q, q_keys = np.array(asks.q.tolist(), np.float64), asks.q_key.to_numpy()
             unit = np.c_[q / np.sqrt((q * q).sum(axis=1))[:, None], np.zeros(len(q))].astype(np.float32)
-            keys, ids, q_keys = part.key.to_numpy(), part.ids.to_numpy(), mine.q_key.to_numpy()
             for lo in range(0, len(q), 512):
                 for k, at in enumerate(graph.search(unit[lo:lo + 512], top + 1), lo):
                     at = at[at >= 0]
@@ -178,8 +197,24 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = TOP, shard: int = SH
                         out.append((q_keys[k], keys[node], ids[node], float(s)))
         return pd.DataFrame(out, columns=["q_key", "key", "ids", "score"])
 
-    # All blocks of a shard are searched by the task that built its graph: one row of neighbours arrays serves them all.
-    hits = dealt.groupBy("shard").cogroup(blocked.groupBy("shard")).applyInPandas(found, "q_key binary, key binary, ids array<long>, score double")
+    blocks = max(1, -(-distinct.count() // block))
+    asked = distinct.withColumn("size", F.size("q")).withColumn("block", F.pmod(F.xxhash64("q_key"), F.lit(blocks)).cast("int"))
+    each = asked.join(parts.where("part = 0").select("size", "shard"), "size")
+    copies = parts.join(asked.select("size", "block").distinct(), "size")
+    keys = ("size", "shard", "block")
+    # Both sides come from the same two frames: new names keep their columns apart.
+    copies, each = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (copies, each))
+    return copies.groupBy(*keys).cogroup(each.groupBy(*keys)).applyInPandas(found, "q_key binary, key binary, ids array<long>, score double")
+
+
+def nearest(rows: DataFrame, queries: DataFrame, top: int = TOP, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+    """query_id, rank, vec_id, score of the `top` nearest rows other than the query's own. queries: vec_id, embedding."""
+    asked = usable(queries).dropDuplicates(["vec_id", "key"])
+    known = usable(rows)
+    nodes = stored(known.groupBy("key").agg(F.first("v").alias("v")).join(named(known, top + 1), "key"), "ann-nodes")
+    parts = stored(graphs(nodes, max(1, -(-nodes.count() // shard))), "ann-graphs")
+    asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("key").alias("q_key")), "ann-queries")
+    hits = searched(parts, asked.select("q", "q_key").dropDuplicates(["q_key"]), top, block)
     best = hits.withColumn("n", F.row_number().over(Window.partitionBy("q_key").orderBy(F.desc("score"), F.element_at("ids", 1)))).where(F.col("n") <= top + 1)
     each = asked.join(best, "q_key").select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
     each = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
