@@ -120,12 +120,14 @@ def crowd_links(crowd: DataFrame, texts: DataFrame, similarity: float = SIMILARI
     """Rows (a, b, n): b null and n the number of a's links in one pair of blocks, or a link of the spanning forest and 0."""
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        inside = group.one.iloc[0] == group.two.iloc[0]
+        if not inside and group.block.nunique() < 2:  # an empty block: the other one's own links are counted in its own group
+            return pd.DataFrame({"a": [], "b": [], "n": []})
         nodes, block = list(group.node), group.block.to_numpy()
         sets = [shingles(t) for t in group.text]
         size = np.array([len(s) for s in sets])
         values, inverse = np.unique(np.concatenate(sets), return_inverse=True)
         owner = np.repeat(np.arange(len(sets)), size)
-        inside = block.min() == block.max()
         links, label, out = np.zeros(len(sets), int), np.arange(len(sets)), []
         for x in np.flatnonzero(block == block.min()):
             held = np.zeros(len(values), bool)

@@ -6,7 +6,7 @@ import collections
 
 import numpy as np
 
-from ratewell.llm import hnsw
+from ratewell.llm import hnsw, jaccard
 
 
 def test_nearest_tasks_see_one_block(spark):
@@ -25,3 +25,11 @@ def test_nearest_tasks_see_one_block(spark):
         s[k] = -np.inf
         hits += len(set(named[k]) & set(np.argsort(-s)[:5].tolist()))
     assert len(named) == 300 and hits >= 0.98 * 5 * 300
+
+
+def test_an_empty_block_adds_no_link(spark):
+    """One huge text makes many blocks for a small crowd, some of them empty: no link is counted for an empty partner."""
+    words = [f"w{k}" for k in range(120)]
+    rows = [(doc, " ".join([*words[:119], f"own{doc}"])) for doc in range(20)] + [(20, " ".join(words) + " " * 25_000_000)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {doc: (0, 20) for doc in range(21)}
