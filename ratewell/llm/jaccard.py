@@ -205,7 +205,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """node, n_copies, first_id (of the equal texts), n_links (to different texts) and class_id (smallest id of the class)."""
+    """node, n_copies, first_id (of the equal texts), n_links (to different texts), class_id (smallest id of the class, null if
+    none of its rows has one) and root (a node of the class, never null: the class's key)."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.unhex(F.md5("text")))
     members = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"), F.min(F.length("text")).alias("chars")), "near-nodes")
     texts = _one_text_each(rows, members)
@@ -219,8 +220,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ends = found.select(F.explode(F.array("a", "b")).alias("node"), "n").where("node is not null").groupBy("node").agg(F.sum("n").alias("n_links"))
     roots = components(links)
     named = roots.join(members, "node").groupBy("root").agg(F.min("first_id").alias("class_id"))
-    linked = roots.join(named, "root").join(ends, "node").select("node", "n_links", "class_id")
-    return members.join(linked, "node", "left").select("node", "first_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "first_id").alias("class_id"))
+    linked = roots.join(named, "root").join(ends, "node").select("node", "root", "n_links", "class_id")
+    return members.join(linked, "node", "left").select("node", "first_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("root", "node").alias("root"))
 
 
 def _one_text_each(rows: DataFrame, members: DataFrame) -> DataFrame:
@@ -239,13 +240,13 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one with the smallest id, with its own columns. Of a class without ids, or of rows
-    that repeat the smallest id, the row with the smallest hash stays."""
+    """One document of each class, the one with the smallest id, with its own columns. Of a class without ids, or with
+    several texts at the smallest id, the smallest text digest stays; of equal rows, the one with the smallest hash."""
     classes = near_duplicates(docs)
-    kept = classes.where(F.col("first_id").eqNullSafe(F.col("class_id"))).select("node", "first_id")
+    least = F.struct(F.col("first_id").isNull(), "first_id", "node")  # null ids last
+    kept = classes.groupBy("root").agg(F.min_by(F.struct("node", "first_id"), least).alias("kept")).select("kept.*")
     rows = wrapped(docs, "doc_id", "text").withColumn("node", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     first = rows.join(kept, "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    # A class whose smallest id stands at rows with different texts keeps the smallest of them too.
     return first.groupBy("node").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 

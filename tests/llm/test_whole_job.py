@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import collections
+from types import SimpleNamespace
 
 import numpy as np
 
-from ratewell.llm import hnsw, jaccard
+from ratewell.llm import hnsw, jaccard, lm, urls
 
 
 def test_nearest_tasks_see_one_block(spark):
@@ -33,3 +34,13 @@ def test_an_empty_block_adds_no_link(spark):
     rows = [(doc, " ".join([*words[:119], f"own{doc}"])) for doc in range(20)] + [(20, " ".join(words) + " " * 25_000_000)]
     got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {doc: (0, 20) for doc in range(21)}
+
+
+def test_keep_one_of_classes_without_ids(spark):
+    """Near copies without ids, and near copies that share the smallest id: one row of each class stays."""
+    def near(tag, k):
+        return " ".join([f"{tag}{j}" for j in range(60)] + [f"own{tag}{k}"])
+
+    rows = [(None, near("a", k)) for k in range(3)] + [(5, near("b", 0)), (5, near("b", 1)), (9, near("b", 2))] + [(None, near("c", k)) for k in range(2)] + [(7, near("c", 9))]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.text[0], r.doc_id or 0) for r in got) == [("a", 0), ("b", 5), ("c", 7)]
