@@ -1,7 +1,7 @@
 """URL filters: rules on hosts and paths, and beyond them logistic regression on hashed character n-grams.
 
 Host and path are cut out of the url by DataFrame functions; the longest rule that fits decides. Urls without a rule get
-the verdict of a model that is trained from a small table of labelled urls: at most SAMPLE of them, chosen by hash.
+the verdict of a model that is trained from a table of labelled urls: about SAMPLE different ones, chosen by hash, each with the number of its rows as weight.
 
 A null url or one without `://` has an empty host and path, no rule, and the model's verdict on its bias. Repeated rows
 are judged alike; equal urls with different labels all count. With labels of one kind only the model gives that label,
@@ -53,21 +53,26 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def sampled(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """host, path, block and n (labelled rows) of about `sample` different urls: two rows a url at most, however often it occurs."""
+    counts = labelled.where("block is not null").groupBy("host", "path", "block").agg(F.count("*").alias("n"))
+    share = min(1.0, sample / max(1, counts.select("host", "path").distinct().count()))
+    return counts.where(F.pmod(F.xxhash64("host", "path"), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """The weights, the bias last, from rows of (host, path, block 0 or 1). One task trains on the bounded sample."""
-    rows = labelled.where("block is not null")
-    share = min(1.0, sample / max(1, rows.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("host", "path"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = sampled(labelled, sample)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"at": [grams(h, p).astype(np.int32) for h, p in zip(b.host, b.path)], "block": b.block.astype("int32"), "turn": [zlib.crc32(f"{h}{p}".encode("utf-8", "replace")) for h, p in zip(b.host, b.path)]})
+            yield pd.DataFrame({"at": [grams(h, p).astype(np.int32) for h, p in zip(b.host, b.path)], "block": b.block.astype("int32"), "n": b.n, "turn": [zlib.crc32(f"{h}{p}".encode("utf-8", "replace")) for h, p in zip(b.host, b.path)]})
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = pd.concat([pd.DataFrame({"at": [], "block": [], "turn": []}), *batches])
+        got = pd.concat([pd.DataFrame({"at": [], "block": [], "n": [], "turn": []}), *batches])
         got["key"] = [a.tobytes() for a in got["at"]]
         got = got.sort_values(["turn", "key", "block"])
-        xs, ys = list(got["at"]), got.block.to_numpy("float64")
+        xs, ys, ns = list(got["at"]), got.block.to_numpy("float64"), got.n.to_numpy("float64")
         w, scale = np.zeros((1 << BITS) + 1), np.full((1 << BITS) + 1, 1e-6)
         w[-1] = -1.0 if not len(ys) else 0.0
         for _ in range(STEPS):
@@ -75,14 +80,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> np.ndarray:
                 part = [np.append(x, 1 << BITS) for x in xs[lo:lo + BATCH]]
                 who = np.repeat(np.arange(len(part)), [len(x) for x in part])
                 at = np.concatenate(part)
-                wrong = _sigmoid(np.bincount(who, w[at], len(part))) - ys[lo:lo + BATCH]
+                many = ns[lo:lo + BATCH]
+                wrong = (_sigmoid(np.bincount(who, w[at], len(part))) - ys[lo:lo + BATCH]) * many / many.sum()
                 touched, back = np.unique(at, return_inverse=True)
-                g = np.bincount(back, wrong[who]) / len(part) + 1e-6 * w[touched]
+                g = np.bincount(back, wrong[who]) + 1e-6 * w[touched]
                 scale[touched] += g * g  # AdaGrad: a rate per coordinate
                 w[touched] -= 0.2 * g / np.sqrt(scale[touched])
         yield pd.DataFrame({"w": [w.tobytes()]})
 
-    made = chosen.mapInPandas(hashed, "at array<int>, block int, turn long").coalesce(1).mapInPandas(train, "w binary").collect()
+    made = chosen.mapInPandas(hashed, "at array<int>, block int, n long, turn long").coalesce(1).mapInPandas(train, "w binary").collect()
     return np.frombuffer(made[0]["w"]) if made else np.append(np.zeros(1 << BITS), -1.0)
 
 

@@ -44,3 +44,12 @@ def test_keep_one_of_classes_without_ids(spark):
     rows = [(None, near("a", k)) for k in range(3)] + [(5, near("b", 0)), (5, near("b", 1)), (9, near("b", 2))] + [(None, near("c", k)) for k in range(2)] + [(7, near("c", 9))]
     got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.text[0], r.doc_id or 0) for r in got) == [("a", 0), ("b", 5), ("c", 7)]
+
+
+def test_copies_of_a_url_do_not_fill_the_sample(spark):
+    rows = spark.range(1000).selectExpr("concat('h', id, '.com') host", "'/x' path", "cast(id % 2 as int) block")
+    for url in range(30):  # some of them fall into the share, some don't
+        rows = rows.unionAll(spark.range(2000).selectExpr(f"'hot{url}.com' host", "'/' path", "1 block"))
+    got = urls.sampled(rows, 100).collect()
+    assert 50 < len(got) < 150 and {r.n for r in got} == {1, 2000}
+    assert len(urls.fit(rows, 100)) == (1 << urls.BITS) + 1
