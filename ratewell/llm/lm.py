@@ -6,8 +6,8 @@ most frequent words is one, the others share a symbol per power of two of their
 symbols, then the word in its class: by a softmax among the HEAD words, by the corpus counts in the classes of rarer words.
 Unseen words share the class of the rarest: half of it is theirs, as V + 1 equally likely forms.
 
-The network is trained by truncated backpropagation in numpy on a hash sample of SHARE of the training documents, in shards
-whose weights Spark averages after every round; the sample grows with the corpus. For scoring, documents of a batch advance
+The network is trained by truncated backpropagation in numpy on all training documents, in shards whose weights Spark
+averages after every round. For scoring, documents of a batch advance
 together in windows, and the state is carried from window to window to the document's end.
 
 Null or empty text: the end token alone. A null id is never held out nor learned from. Repeated rows are scored for
@@ -29,7 +29,7 @@ BLOCK_ROWS_BITS = 11
 HEAD, WIDE, BINS, HIDDEN = 224, 16, 24, 24
 CLASSES = 1 + HEAD // WIDE + BINS  # the end, the head's classes, the bins
 SYMBOLS = 1 + HEAD + BINS
-SHARE, SHARD_TOKENS, ROUNDS, STREAMS, STEPS, RATE = 1 / 32, 150_000, 2, 48, 24, 0.01
+SHARD_TOKENS, ROUNDS, STREAMS, STEPS, RATE = 150_000, 2, 48, 24, 0.01
 WINDOW, TOGETHER = 48, 384
 _SHAPES = {"x": (SYMBOLS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (HEAD // WIDE, HIDDEN, WIDE), "bw": (HEAD // WIDE, WIDE)}
 _SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
@@ -216,11 +216,11 @@ def train_shard(documents: list[np.ndarray], flat: np.ndarray) -> np.ndarray:
     return flat
 
 
-def fit(encoded: DataFrame, totals: Totals, share: float = SHARE) -> np.ndarray:
-    """The averaged weights after ROUNDS rounds."""
+def fit(encoded: DataFrame, totals: Totals) -> np.ndarray:
+    """The averaged weights after ROUNDS rounds over all training documents. The stored frame is read once a round."""
     spark = encoded.sparkSession
-    sample = stored(encoded.where("fold is not null and fold <> '2'").where(F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(1 << 20)) < int(share * (1 << 20))).select("doc_id", "symbols"), "lm-sample")
-    tokens = sample.agg(F.sum(F.length("symbols"))).first()[0] or 0
+    rows = encoded.where("fold is not null and fold <> '2'").select("doc_id", "symbols")
+    tokens = rows.agg(F.sum(F.length("symbols"))).first()[0] or 0
     flat = first_weights(totals)
     if not tokens:
         return flat
@@ -229,12 +229,12 @@ def fit(encoded: DataFrame, totals: Totals, share: float = SHARE) -> np.ndarray:
         shared = spark.sparkContext.broadcast(flat)
 
         def learn(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values("doc_id")
+            group = group.sort_values(["doc_id", "symbols"])
             docs = [np.frombuffer(b, np.uint8) for b in group.symbols]
             made = train_shard(docs, shared.value)
             return pd.DataFrame({"weights": [made.tolist()], "tokens": [sum(map(len, docs))]})
 
-        made = sample.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")).applyInPandas(learn, "weights array<float>, tokens long")
+        made = rows.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")).applyInPandas(learn, "weights array<float>, tokens long")
         each = made.select("tokens", F.posexplode("weights")).groupBy("pos").agg((F.sum(F.col("col").cast("double") * F.col("tokens")) / F.sum("tokens")).alias("w"))
         flat = np.array([r["w"] for r in each.orderBy("pos").collect()], np.float32)  # as many rows as the network has weights
         shared.unpersist()

@@ -36,6 +36,15 @@ def test_an_empty_block_adds_no_link(spark):
     assert got == {doc: (0, 20) for doc in range(21)}
 
 
+def test_every_training_document_is_learned(spark):
+    """Whatever its id: a table of one training document changes the weights; one that is held out or has no id does not."""
+    totals = SimpleNamespace(start=np.zeros(lm.CLASSES), head_counts=np.zeros(lm.HEAD))
+    first, text = lm.first_weights(totals), bytes([1, 2, 3, 4, 0] * 40)
+    for doc, fold in (("1", "0"), ("2", "1"), ("3", "3"), ("4", "2"), (None, None)):
+        made = lm.fit(spark.createDataFrame([(doc, fold, text)], "doc_id string, fold string, symbols binary"), totals)
+        assert (np.abs(made - first).max() > 0) == (fold in ("0", "1", "3"))
+
+
 def test_keep_one_of_classes_without_ids(spark):
     """Near copies without ids, and near copies that share the smallest id: one row of each class stays."""
     def near(tag, k):
