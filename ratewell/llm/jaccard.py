@@ -1,8 +1,9 @@
-"""N-gram Jaccard join: MinHash LSH forest over word shingles, then exact verification.
+"""N-gram Jaccard join: MinHash banding of one fixed depth over word shingles, then exact verification.
 
 Equal texts form one node, so copies cost one row each and never meet in pairs. Of every node a MinHash signature is cut
-into TREES label sequences of DEPTH hashes: the sorted prefix tries of an LSH forest. The matched prefix is shortened from
-the full depth until a pair of the wanted similarity meets in some tree with the target recall. In groups of up to SMALL
+into TREES label sequences of DEPTH hashes. All texts are grouped by a prefix of one length: the longest at which a pair of
+the wanted similarity meets in some tree with the target recall. This is banding, in place of an LSH forest whose prefixes
+adapt; the deeper hashes only choose a group's leader. In groups of up to SMALL
 texts under that prefix all meet, and each pair is verified on the exact shingle sets.
 
 Larger groups emit no pairs. The groups that share a text make one crowd. A crowd is cut by a hash into blocks of about BLOCK
