@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hnsw, jaccard, licenses, lm, mixing, packing, rules, spelling, toxicity, urls, warc
+from . import digests, hnsw, jaccard, licenses, lm, mixing, packing, rules, spelling, toxicity, urls, warc
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op11_spelling(spark, sf_dir):
     return spelling.spelling(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_packing, op2_licenses, op3_toxicity, op4_jaccard, op5_mixing, op6_warc, op7_rules, op8_urls, op9_lm, op10_hnsw, op11_spelling)
+def op12_fingerprints(spark, sf_dir):
+    return digests.fingerprints(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (op1_packing, op2_licenses, op3_toxicity, op4_jaccard, op5_mixing, op6_warc, op7_rules, op8_urls, op9_lm, op10_hnsw, op11_spelling, op12_fingerprints)
 QUERIES = {f.__name__: f for f in OPERATORS}
 ORACLES = {"op5_mixing": mixing.MIX_SQL.format(docs="documents"), "op6_warc": warc.ROUNDTRIP_SQL}
