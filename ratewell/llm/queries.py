@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import digests, hnsw, jaccard, licenses, lm, mixing, packing, rules, spelling, toxicity, urls, warc
+from . import codes, digests, hnsw, jaccard, licenses, lm, mixing, packing, rules, spelling, toxicity, urls, warc
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op12_fingerprints(spark, sf_dir):
     return digests.fingerprints(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_packing, op2_licenses, op3_toxicity, op4_jaccard, op5_mixing, op6_warc, op7_rules, op8_urls, op9_lm, op10_hnsw, op11_spelling, op12_fingerprints)
+def op13_vector_codes(spark, sf_dir):
+    return codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+OPERATORS = (op1_packing, op2_licenses, op3_toxicity, op4_jaccard, op5_mixing, op6_warc, op7_rules, op8_urls, op9_lm, op10_hnsw, op11_spelling, op12_fingerprints, op13_vector_codes)
 QUERIES = {f.__name__: f for f in OPERATORS}
-ORACLES = {"op5_mixing": mixing.MIX_SQL.format(docs="documents"), "op6_warc": warc.ROUNDTRIP_SQL}
+ORACLES = {"op5_mixing": mixing.MIX_SQL.format(docs="documents"), "op6_warc": warc.ROUNDTRIP_SQL, "op13_vector_codes": codes.CODES_SQL}
