@@ -110,7 +110,7 @@ def _ids(texts: pd.Series) -> list[int | None]:
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "n_chars": "Int64"})
+    return pd.DataFrame(rows, columns=names, dtype="object").astype({"doc_id": "Int64", "n_chars": "Int64"})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
