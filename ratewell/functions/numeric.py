@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from ratewell.schemas import NUMERIC
 
-# (37,9) +/- (37,9) is (38,9); (33,9) * (4,0) is (38,9); an exact whole quotient survives (38,9) / (38,9), which is (38,6).
+# (37,9) +/- (37,9) is (38,9); (29,9) / (38,9) is (38,9); an exact whole quotient survives (38,9) / (38,9), which is (38,6).
 _ADDITIVE = "decimal(37,9)"
-_REMAINDER = "decimal(33,9)"
+_DIVIDEND = "decimal(29,9)"
 
 
 def numeric(value: Column) -> Column:
@@ -21,24 +21,25 @@ def difference(left: Column, right: Column) -> Column:
     return (left.cast(_ADDITIVE) - right.cast(_ADDITIVE)).cast(NUMERIC)
 
 
-def _minus(left: Column, right: Column) -> Column:
-    return left.cast(_ADDITIVE) - right.cast(_ADDITIVE)
-
-
 def safe_divide(left: Column, right: Column) -> Column:
-    """Quotient at nine places, rounded half up once, NULL for a NULL or zero divisor. The whole part and three groups
-    of three places come from exact remainders, the same way for operands of every size; a divisor of 10^24 and more
-    leaves no room for them and raises."""
+    """Quotient at nine places, rounded half up; NULL for a NULL or zero divisor and where the quotient does not fit.
+
+    One division gives nine places if the dividend has at most twenty before the point. A larger one is divided into a
+    whole part and a remainder first, and where the remainder is that large too, so is the divisor, and both lose nine
+    places before they meet. Spark rounds quotients at 38 places and then at nine: below a divisor of 10^19 no quotient
+    comes close enough to the middle of two results to be rounded twice; beyond, the last place is one too high for
+    quotients less than 10^-20 below it. Dividends of 10^28 and more give NULL over smaller divisors than 10^20, and so do
+    quotients of 10^28 and more of dividends of 10^20 and more."""
     left, right = numeric(left), F.nullif(numeric(right), numeric(F.lit(0)))
-    rest = left % right
-    quotient = numeric(_minus(left, rest) / right)
-    for place in ("0.001", "0.000001", "0.000000001"):
-        grown = (rest.cast(_REMAINDER) * F.lit(1000).cast("decimal(4,0)")).cast(NUMERIC)
-        rest = grown % right
-        digits = (_minus(grown, rest) / right).cast("decimal(4,0)")
-        quotient = numeric(quotient.cast(_ADDITIVE) + digits * F.lit(place).cast("decimal(9,9)"))
-    up = F.when(F.abs(rest.cast(_ADDITIVE)) * 2 >= F.abs(right.cast(_ADDITIVE)), F.signum(rest) * F.signum(right)).otherwise(0)
-    return numeric(quotient.cast(_ADDITIVE) + up.cast("decimal(1,0)") * F.lit("0.000000001").cast("decimal(9,9)"))
+    large = left.try_cast(_ADDITIVE)
+    rest = large % right
+    whole = F.try_divide(large - rest, right).try_cast(_ADDITIVE)
+    in_two = (whole + F.try_divide(rest.try_cast(_DIVIDEND), right).try_cast(_ADDITIVE)).try_cast(NUMERIC)
+    billion = F.lit(10**9).cast("decimal(10,0)")
+    shortened = F.try_divide((left / billion).try_cast(_DIVIDEND), (right / billion).cast(NUMERIC))
+    return F.coalesce(
+        F.try_divide(left.try_cast(_DIVIDEND), right), in_two, F.when(F.abs(right) >= F.lit("1e20").cast("decimal(21,0)"), shortened)
+    ).try_cast(NUMERIC)
 
 
 def mean(total: Column, count: Column, most: int) -> Column:
@@ -48,7 +49,8 @@ def mean(total: Column, count: Column, most: int) -> Column:
 
 
 def relative_change(new: Column, old: Column) -> Column:
-    return difference(safe_divide(new, old), F.lit(1))
+    """new / old - 1, NULL where the quotient is."""
+    return (safe_divide(new, old).try_cast(_ADDITIVE) - F.lit(1).cast(_ADDITIVE)).cast(NUMERIC)
 
 
 def drift(base: Column, new: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
+from ratewell.sources.scratch import scratch_folder
 
 
 def over_series(
@@ -25,7 +25,7 @@ def over_series(
     """Add the columns of build(window), a window over `key` ordered by `order`. build gives steps, each of
     which may use the columns of the step before; all share one shuffle and one sort. A row's values may depend
     on at most `context` rows before it. With block_rows each series is cut into blocks of that many rows; a block also gets
-    the `context` rows before it, so the result is the same."""
+    the `context` rows before it, so the result is the same. The numbered rows are then written when this is called."""
     if block_rows is None:
         return _apply(df, build(Window.partitionBy(*key).orderBy(order)))
     if block_rows < context:
@@ -56,25 +56,26 @@ def _apply(df: DataFrame, steps: Sequence[dict[str, Column]]) -> DataFrame:
 
 
 def _numbered(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    """Row number from 0 along each series: numbered inside (series, year), shifted by the rows of the years
-    before. The shift comes from one counted row per series and year."""
-    dated = df.withColumn("_year", F.year(order))
-    counts = dated.groupBy(*key, "_year").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*key).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
+    """Row number from 0 along each series. Rows are dealt into ranges of (key, order), whatever share one key has, sorted
+    there and written once with their place; the input is read once. A range adds one row per key with its first place and
+    its count, from which the numbers before it follow."""
+    placed = df.repartitionByRange(*key, order).sortWithinPartitions(*key, order).withColumn("_place", F.monotonically_increasing_id())
+    path = scratch_folder(df.sparkSession, "numbered")
+    placed.write.parquet(path)
+    # The id of a row holds its range in the upper bits and its place in the range in the lower 33.
+    placed = df.sparkSession.read.schema(placed.schema).parquet(path).withColumn("_range", F.shiftright("_place", 33))
+    counts = placed.groupBy(*key, "_range").agg(F.min("_place").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select(
         *[F.col(k).alias(f"_at_{k}") for k in key],
-        F.col("_year").alias("_at_year"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"),
+        F.col("_range").alias("_at_range"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_from")).alias("_shift"),
     )
-    same = F.col("_year").eqNullSafe(F.col("_at_year"))
+    same = F.col("_range") == F.col("_at_range")
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
-    inside = Window.partitionBy(*key, "_year").orderBy(order)
-    return (
-        dated.withColumn("_number", F.row_number().over(inside) - 1)
-        .join(shifts, same)
-        .withColumn("_row", F.col("_number") + F.col("_shift"))
-        .drop("_year", "_number", "_shift", "_at_year", *[f"_at_{k}" for k in key])
+    return placed.join(shifts, same).withColumn("_row", F.col("_place") + F.col("_shift")).drop(
+        "_place", "_range", "_at_range", "_shift", *[f"_at_{k}" for k in key]
     )
 
 

@@ -95,6 +95,39 @@ def with_baseline(meta: DataFrame) -> DataFrame:
     return meta.join(previous_day(meta), "rate_date", "left").join(base, "baseline_date", "left")
 
 
+def latest_day_before(meta: DataFrame, day: date | str) -> date | None:
+    """The latest day of meta before `day`. A table partitioned by rate_month is walked backwards, one month first, then four
+    times as many at each step, with literal months, so that only those partitions are read."""
+    day = to_date(day)
+    earlier = meta.where(F.col("rate_date") < F.lit(day))
+    if "rate_month" not in meta.columns:
+        return earlier.agg(F.max("rate_date")).first()[0]
+    high, months = day.year * 12 + day.month - 1, 1  # months since the year 0
+    while high >= 12:  # dates begin with the year 1
+        low = max(high - months + 1, 12)
+        some = earlier.where(F.col("rate_month").between(_month(low), _month(high)))
+        if found := some.agg(F.max("rate_date")).first()[0]:
+            return found
+        high, months = low - 1, months * 4
+    return None
+
+
+def _month(number: int) -> Column:
+    """First day of a month as a literal; written as text, since years before 1000 are lost on the way as dates."""
+    return F.lit(date(number // 12, number % 12 + 1, 1).isoformat()).cast("date")
+
+
+def meta_around(meta: DataFrame, first: date | str, last: date | str) -> DataFrame:
+    """The part of meta that decides about the days first .. last: these days and the baseline of the first. On a table
+    partitioned by rate_month the bounds are literals, which prune it."""
+    first, last = to_date(first), to_date(last)
+    start = latest_day_before(meta, first) or first
+    part = meta.where(F.col("rate_date").between(F.lit(start), F.lit(last)))
+    if "rate_month" in meta.columns:
+        part = part.where(F.col("rate_month").between(F.lit(start.replace(day=1)), F.lit(last.replace(day=1))))
+    return part
+
+
 def _rate_of(pairs: Column, code: Column) -> Column:
     """Rate of a code in a pair array, the last one if listed twice, NULL if absent."""
     return F.try_element_at(F.filter(pairs, lambda pair: pair["currency"] == code), F.lit(-1))["rate"]

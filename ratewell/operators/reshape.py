@@ -82,18 +82,11 @@ def to_wide(stg: DataFrame, listed: Sequence[str], base: str) -> DataFrame:
 
 def rebase(wide: DataFrame, bases: Sequence[str], home: str) -> DataFrame:
     """Each row once per base, every rate divided by the rate of that base; the home base is passed through.
-    The bases are rows of one exploded array, so the wide input is planned and read once."""
+    Bases and divisors are one exploded array, so the wide input is planned and read once and each rate divided in one
+    place of the plan."""
     rates = [c for c in wide.columns if c != "rate_date"]
-
-    def block(base: str) -> Column:
-        divisor = F.col(wide_name(base))
-        return F.struct(
-            F.lit(base).alias("base_currency"),
-            *[
-                (numeric(F.col(c)) if base == home else safe_divide(F.col(c), divisor)).alias(c)
-                for c in rates
-            ],
-        )
-
-    blocks = wide.select("rate_date", F.explode(F.array(*[block(b) for b in bases])).alias("_b"))
-    return blocks.select("rate_date", "_b.base_currency", *[f"_b.{c}" for c in rates])
+    pairs = F.array(*[F.struct(F.lit(b).alias("base_currency"), numeric(F.col(wide_name(b))).alias("_divisor")) for b in bases])
+    rows = wide.select("rate_date", *rates, F.inline(pairs))
+    passed = F.col("base_currency") == home
+    cells = [F.when(passed, numeric(F.col(c))).otherwise(safe_divide(F.col(c), F.col("_divisor"))).alias(c) for c in rates]
+    return rows.select("rate_date", "base_currency", *cells)

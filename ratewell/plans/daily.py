@@ -13,7 +13,7 @@ from ratewell.operators.aggregates import day_meta
 from ratewell.operators.gates import (
     GateFailed, data_tests, enforce, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates,
 )
-from ratewell.operators.reconcile import late_diff
+from ratewell.operators.reconcile import late_diff, meta_around
 from ratewell.operators.reshape import clean_long, to_long
 from ratewell.operators.upserts import fill_missing
 from ratewell.params import Params
@@ -252,7 +252,7 @@ def run(
         if not checked.where("expected").isEmpty():
             raise GateFailed(f"no meta row for {day}")
     else:
-        enforce(quality_gate(meta, checked, params, hash_id))
+        enforce(quality_gate(meta_around(meta, day, day), checked, params, hash_id))
     if run_type != "backfill" and tables.find(CORE) is not None:
         build_marts(tables, params, as_of)
     return hash_id
@@ -271,11 +271,12 @@ def backfill(
     build_stage(tables, hash_id)
     stage = tables.source(STAGE).where(F.col("hash_id") == hash_id)
     load_days(stage, tables.path(CORE), tables.path(META), params, "backfill", days)
-    wanted = spark.createDataFrame([(to_date(d),) for d in sorted(set(days), key=str)], "rate_date date")
+    asked = sorted({to_date(d) for d in days})
+    wanted = spark.createDataFrame([(d,) for d in asked], "rate_date date")
     checked = wanted.withColumn("expected", is_expected(F.col("rate_date"), params.holidays))
     meta = tables.find(META)
-    if meta is not None:
-        enforce(quality_gate(meta, checked, params, hash_id))
+    if meta is not None and asked:
+        enforce(quality_gate(meta_around(meta, asked[0], asked[-1]), checked, params, hash_id))
     elif not checked.where("expected").isEmpty():
-        raise GateFailed(f"no meta row for any of {len(days)} days")
+        raise GateFailed(f"no meta row for any of {len(asked)} days")
     return hash_id

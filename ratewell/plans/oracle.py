@@ -50,6 +50,9 @@ def series(key: str, table: str = "lineitem", day: str = "l_shipdate", value: st
 STG = RATES + f""", stg AS (
   SELECT * FROM rates WHERE rate_date >= DATE '{START}' AND currency IN ({listed(PARAMS.listed)}))"""
 
+LARGE_STG = STG.replace("rates AS (", "small AS (", 1).replace("stg AS (", """rates AS (
+  SELECT rate_date, currency, cents * CAST(10 ** (6 + day(rate_date) % 3) AS BIGINT) AS cents FROM small), stg AS (""")
+
 CHANGES = f"""changes AS (
   SELECT *, {quotient('cents', 'prev')} - {NANO} AS change FROM (
     SELECT *, lag(cents) OVER (PARTITION BY {{key}} ORDER BY rate_date) AS prev FROM {{source}})
@@ -83,9 +86,10 @@ SELECT rate_date, {key}, {money('cents')} AS rate, {', '.join(names)} FROM frame
 
 
 _OTHERS = [c for c in PARAMS.listed if c != PARAMS.base]
-WIDE = STG + ", wide AS (SELECT rate_date, 100 AS eur, " + ", ".join(
+_WIDE = ", wide AS (SELECT rate_date, 100 AS eur, " + ", ".join(
     f"max(CASE WHEN currency = '{c}' THEN cents END) AS {c.lower()}" for c in _OTHERS
 ) + " FROM stg GROUP BY rate_date)"
+WIDE, LARGE_WIDE = STG + _WIDE, LARGE_STG + _WIDE
 
 _WIDE_NAMES = [c.lower() for c in PARAMS.listed]
 
@@ -333,7 +337,9 @@ ORACLES: dict[str, str] = {
     "stg_rates_wide": f"WITH {WIDE} SELECT rate_date, "
     + ", ".join(f"{money(c)} AS rate_{c}" for c in _WIDE_NAMES) + " FROM wide",
     "mart_daily": f"WITH {WIDE} {DAILY}",
+    "mart_daily_large": f"WITH {LARGE_WIDE} {DAILY}",
     "pct_change": pct_change_sql(STG, "stg", "currency"),
+    "pct_change_large": pct_change_sql(LARGE_STG, "stg", "currency"),
     "rolling_stats": rolling_sql(STG, "stg", "currency"),
     "rolling_stats_blocked": rolling_sql(STG, "stg", "currency"),
     "rolling_by_supplier": rolling_sql(series("l_suppkey"), "rates", "series"),

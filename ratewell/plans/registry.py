@@ -86,6 +86,19 @@ def q_pct_change(spark, sf_dir):
     return plain(pct_change(_stg(spark, sf_dir)))
 
 
+def _large_stg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stg_rates(views.large_rates(spark, sf_dir), PARAMS)
+
+
+def q_pct_change_large(spark, sf_dir):
+    """Rates of 10^9 to 10^13."""
+    return plain(pct_change(_large_stg(spark, sf_dir)))
+
+
+def q_mart_daily_large(spark, sf_dir):
+    return plain(mart_daily(stg_rates_wide(_large_stg(spark, sf_dir), PARAMS), PARAMS))
+
+
 def q_rolling_stats(spark, sf_dir):
     return plain(rolling_stats(_stg(spark, sf_dir)))
 

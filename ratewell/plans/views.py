@@ -54,6 +54,12 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("rate_date", code.alias("currency"), "rate", F.lit(SNAPSHOT).alias("hash_id"))
 
 
+def large_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates, 10^6, 10^7 or 10^8 times as large by the day of the month."""
+    factor = F.element_at(F.array(*[F.lit(10**k).cast("decimal(9,0)") for k in (6, 7, 8)]), F.dayofmonth("rate_date") % 3 + 1)
+    return rates(spark, sf_dir).withColumn("rate", (F.col("rate").cast("decimal(18,2)") * factor).cast("decimal(38,9)"))
+
+
 def rates_by(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """(rate_date, series, rate) with a key column of the line items as the series."""
     return (

@@ -1,18 +1,20 @@
 """Shapes of physical plans and behaviour under one hot key."""
 
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratewell.operators.aggregates import duplicate_keys
-from ratewell.operators.gates import stage_gates
-from ratewell.operators.reconcile import late_diff, missing_required
+from ratewell.operators.gates import quality_gate, stage_gates
+from ratewell.operators.reconcile import late_diff, latest_day_before, meta_around, missing_required
 from ratewell.operators.reshape import clean_long, rebase
 from ratewell.operators.upserts import missing_rows
 from ratewell.operators.windows import pct_change, rolling_stats
 from ratewell.params import Params
 from ratewell.plans.marts import quality_daily, stg_rates, stg_rates_wide
+from ratewell.schemas import CORE_META
 from ratewell.sources.sinks import _clustered, replace_days, write_stage
 from tests.helpers import D, stage, tuples
 
@@ -102,3 +104,35 @@ def test_copies_of_a_hot_row_collapse(spark):
     log = spark.createDataFrame([("a",)], "hash_id string")
     new = spark.range(30000).select(F.when(F.col("id") < 29990, "a").when(F.col("id") < 29995, "b").otherwise("c").alias("hash_id"))
     assert tuples(missing_rows(log, new)) == [("b",), ("c",)]
+
+
+def test_one_day_gate_reads_few_months(spark, tmp_path):
+    """Every scan of meta by a one-day gate is pruned by literal months, and the baseline may be years back."""
+    days = [date(1999, 3, 31), date(2020, 5, 29), *[date(2024, m, d) for m in range(1, 13) for d in (1, 15)]]
+    rows = [(d, "scheduled", "h", 2, 2, [("GBP", Decimal(1)), ("USD", Decimal(1))], ["USD", "GBP"], datetime(2026, 1, 1)) for d in days]
+    meta = spark.createDataFrame(rows, CORE_META)
+    path = str(tmp_path / "core_meta")
+    replace_days(meta, path, grain="month")
+    stored = spark.read.parquet(path)
+    for day, baseline in ((date(2024, 6, 1), date(2024, 5, 15)), (date(2024, 1, 1), date(2020, 5, 29)), (date(2020, 5, 29), date(1999, 3, 31)), (date(1999, 3, 31), None)):
+        assert latest_day_before(stored, day) == latest_day_before(meta, day) == baseline
+        part = meta_around(stored, day, day)
+        assert {r.rate_date for r in part.collect()} == {day, baseline} - {None}
+        checked = spark.createDataFrame([(day, True)], "rate_date date, expected boolean")
+        gated = quality_gate(part, checked, Params(), "h")
+        scans = [line for line in plan(gated).splitlines() if "FileScan" in line]
+        assert scans and all("PartitionFilters: [isnotnull(rate_month" in line and "rate_month" in line for line in scans), scans
+        got, want = gated.collect(), quality_gate(meta, checked, Params(), "h").collect()
+        assert got == want and (got[0].check == "no_baseline") == (baseline is None)
+
+
+def test_blocked_windows_read_their_input_once(spark, tmp_path):
+    """Rows of a series are numbered without a window over the series or its years, and the input is planned once."""
+    rows = [(date(2020, 1, 1) + timedelta(days=k), "A" if k % 10 else "B", Decimal(k + 1)) for k in range(2000)]
+    spark.createDataFrame(rows, "rate_date date, currency string, rate decimal(38,9)").repartition(7).write.parquet(str(tmp_path / "stg"))
+    stg = spark.read.parquet(str(tmp_path / "stg"))
+    blocked = rolling_stats(stg, block_rows=64)
+    shown = plan(blocked)
+    assert str(tmp_path) not in shown  # the input is behind the written, numbered rows
+    assert "year(" not in shown and "row_number" not in shown
+    assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, rolling_stats(stg).collect()))
