@@ -15,20 +15,19 @@ from ratewell.operators.gates import (
 )
 from ratewell.operators.reconcile import late_diff, meta_around
 from ratewell.operators.reshape import clean_long, to_long
-from ratewell.operators.upserts import fill_missing
 from ratewell.params import Params
 from ratewell.plans.marts import mart_daily, model_tests, quality_daily, stg_rates, stg_rates_wide
 from ratewell.operators.windows import pct_change, rolling_stats
 from ratewell.sources import archives as zips
 from ratewell.sources.sinks import (
-    day_frame, insert_missing, materialize, month_starts, promote, replace_days, replace_partition, replace_table,
-    write_snapshot,
+    day_frame, fill_table, insert_missing, materialize, month_starts, promote, replace_days, replace_partition, replace_table,
 )
-from ratewell.sources.tables import Tables, contains, latest_snapshot, snapshot_by_hash
+from ratewell.sources.tables import Tables, contains, latest_snapshot, rows_of_key, snapshot_by_hash
 
 RUN_TYPES = ("scheduled", "manual", "backfill")
 
 LOG = "ingestion_log"
+ARCHIVES = "archives"
 CSV_OBJECTS = "csv"
 RAW_LONG = "raw_long"
 STAGE = "stage_long"
@@ -48,43 +47,52 @@ def run_date(run_type: str, rate_date: date | str | None) -> date:
 
 # --- snapshot steps --------------------------------------------------------------------------------------
 
-def ingest(tables: Tables, run_type: str, landing: str | None, params: Params) -> str:
+def ingest(tables: Tables, run_type: str, landing: str | DataFrame | None, params: Params) -> str:
     """hash_id of the snapshot to work on. A run that is not scheduled takes the newest logged snapshot; else
-    the newest landed archive is logged, once per content."""
-    spark, log_path = tables.spark, tables.path(LOG)
+    the newest landed archive is stored and logged, once per content. `landing` is a folder, or a frame with the columns of
+    the binaryFile source. What landed is read here only: later steps and runs read the stored archive."""
+    log_path = tables.path(LOG)
     if run_type != "scheduled":
         log = tables.find(LOG)
         newest = None if log is None else latest_snapshot(log, ["gcs_zip_uri", "zip_size"]).first()
         if newest and newest["gcs_zip_uri"] and newest["zip_size"]:
-            _audit_archive(tables, newest["hash_id"], params)
+            _audit_archive(tables, newest["hash_id"])
             return newest["hash_id"]
     if landing is None:
         raise ValueError("no logged snapshot: a landing folder is needed")
-    newest_file = zips.newest_path(spark, landing)
-    if newest_file is None:
+    files = zips.newest_file(tables.spark, landing)
+    if files is None:
         raise ValueError(f"no archive in {landing}")
-    files = zips.landed_files(spark, newest_file)
     bad = zips.refused(files, params.max_archive_bytes).first()
     if bad:
         raise ValueError(f"{bad['path']}: {bad['error']}")
     archive = zips.identify(files, params.max_archive_bytes)
     _raise_rejected(zips.extract_members(archive))
     hash_id = archive.select("hash_id").first()["hash_id"]
-    insert_missing(zips.log_rows(archive), log_path)
-    wanted = archive.select("hash_id", F.col("size").alias("zip_size"))
-    enforce(log_gate(wanted, tables.source(LOG), ["gcs_zip_uri", "zip_size"], ["zip_size"]))
-    _audit_archive(tables, hash_id, params)
+    zips.store_archives(archive, tables.path(ARCHIVES))
+    kept = _archive_of(tables, hash_id)
+    insert_missing(zips.log_rows(kept), log_path)
+    wanted = kept.select("hash_id", F.col("path").alias("gcs_zip_uri"), F.col("size").alias("zip_size"))
+    enforce(log_gate(wanted, _logged(tables, hash_id), ["gcs_zip_uri", "zip_size"], ["gcs_zip_uri", "zip_size"]))
+    _audit_archive(tables, hash_id)
     return hash_id
 
 
-def _archive_of(tables: Tables, hash_id: str, params: Params) -> DataFrame:
-    uri = snapshot_by_hash(tables.source(LOG), hash_id, ["gcs_zip_uri"]).first()["gcs_zip_uri"]
-    return zips.scan_archives(tables.spark, uri, params.max_archive_bytes)
+def _logged(tables: Tables, hash_id: str) -> DataFrame:
+    """The log row of a snapshot, from the part of the log that can hold it."""
+    rows = rows_of_key(tables.spark, tables.path(LOG), hash_id)
+    if rows is None:
+        raise FileNotFoundError(f"no table {tables.path(LOG)}")
+    return rows
 
 
-def _audit_archive(tables: Tables, hash_id: str, params: Params) -> None:
-    logged = snapshot_by_hash(tables.source(LOG), hash_id, ["gcs_zip_uri", "zip_size"])
-    enforce(snapshot_audit(logged, _archive_of(tables, hash_id, params)))
+def _archive_of(tables: Tables, hash_id: str) -> DataFrame:
+    return zips.stored_archive(tables.spark, tables.path(ARCHIVES), hash_id)
+
+
+def _audit_archive(tables: Tables, hash_id: str) -> None:
+    logged = snapshot_by_hash(_logged(tables, hash_id), hash_id, ["gcs_zip_uri", "zip_size"])
+    enforce(snapshot_audit(logged, _archive_of(tables, hash_id)))
 
 
 def _raise_rejected(members: DataFrame) -> None:
@@ -93,15 +101,15 @@ def _raise_rejected(members: DataFrame) -> None:
         raise ValueError(f"{bad['hash_id']}: {bad['error']}")
 
 
-def extract(tables: Tables, hash_id: str, params: Params) -> None:
+def extract(tables: Tables, hash_id: str) -> None:
     """Store the CSV of a logged archive and fill the log's extraction fields where they are NULL."""
     wanted = tables.spark.range(1, numPartitions=1).select(F.lit(hash_id).alias("hash_id"))
-    enforce(log_gate(wanted, tables.source(LOG), ["gcs_zip_uri", "zip_size"]))
-    _audit_archive(tables, hash_id, params)
+    enforce(log_gate(wanted, _logged(tables, hash_id), ["gcs_zip_uri", "zip_size"]))
+    _audit_archive(tables, hash_id)
     root = tables.path(CSV_OBJECTS)
-    logged = snapshot_by_hash(tables.source(LOG), hash_id, ["gcs_csv_uri", "csv_size"])
+    logged = snapshot_by_hash(_logged(tables, hash_id), hash_id, ["gcs_csv_uri", "csv_size"])
     if logged.first()["gcs_csv_uri"] is None:
-        members = zips.extract_members(_archive_of(tables, hash_id, params))
+        members = zips.extract_members(_archive_of(tables, hash_id))
         _raise_rejected(members)
         zips.write_members(members, root)
         stored = zips.stored_members(tables.spark, f"{root}/hash_id={hash_id}").select(
@@ -110,23 +118,23 @@ def extract(tables: Tables, hash_id: str, params: Params) -> None:
             F.col("size").alias("csv_size"),
             F.current_timestamp().alias("unpacked_at"),
         )
-        replace_table(fill_missing(tables.source(LOG), stored), tables.path(LOG))
-    enforce(log_gate(wanted, tables.source(LOG), ["gcs_csv_uri", "csv_size"]))
-    logged = snapshot_by_hash(tables.source(LOG), hash_id, ["gcs_csv_uri", "csv_size"])
+        fill_table(stored, tables.path(LOG))
+    enforce(log_gate(wanted, _logged(tables, hash_id), ["gcs_csv_uri", "csv_size"]))
+    logged = snapshot_by_hash(_logged(tables, hash_id), hash_id, ["gcs_csv_uri", "csv_size"])
     objects = zips.stored_members(tables.spark, f"{root}/hash_id={hash_id}").drop("hash_id")
     enforce(snapshot_audit(logged, objects, "gcs_csv_uri", "csv_size"))
 
 
-def load_snapshot(tables: Tables, hash_id: str, params: Params) -> DataFrame:
+def load_snapshot(tables: Tables, hash_id: str) -> DataFrame:
     """The wide raw table of a snapshot, loaded once."""
     name = f"raw_snapshots/{hash_id}"
     stored = tables.find(name)
     if stored is None or stored.isEmpty():
-        member = zips.extract_members(_archive_of(tables, hash_id, params)).drop("csv_text").first()
+        member = zips.extract_members(_archive_of(tables, hash_id)).drop("csv_text").first()
         wide = zips.load_csv(
             tables.spark, tables.path(CSV_OBJECTS), [hash_id], list(member["columns"]), member["delimiter"]
         )
-        write_snapshot(wide.drop("hash_id"), tables.path(name))
+        replace_table(wide.drop("hash_id"), tables.path(name))
         stored = tables.source(name)
         _need_rows(stored, name)
     return stored
@@ -141,10 +149,10 @@ def _holds(df: DataFrame | None, hash_id: str) -> bool:
     return df is not None and contains(df, hash_id)
 
 
-def build_raw_long(tables: Tables, hash_id: str, params: Params) -> None:
+def build_raw_long(tables: Tables, hash_id: str) -> None:
     if _holds(tables.find(RAW_LONG), hash_id):
         return
-    wide = load_snapshot(tables, hash_id, params)
+    wide = load_snapshot(tables, hash_id)
     replace_table(to_long(wide, hash_id), tables.path(RAW_LONG))
     if not _holds(tables.find(RAW_LONG), hash_id):
         raise RuntimeError(f"{RAW_LONG} has no rows of {hash_id}")
@@ -229,7 +237,7 @@ def run(
     root: str,
     run_type: str,
     rate_date: date | str | None,
-    landing: str | None = None,
+    landing: str | DataFrame | None = None,
     params: Params | None = None,
     as_of: date | str | None = None,
 ) -> str:
@@ -239,8 +247,8 @@ def run(
     day = run_date(run_type, rate_date)
     tables = Tables(spark, root)
     hash_id = ingest(tables, run_type, landing, params)
-    extract(tables, hash_id, params)
-    build_raw_long(tables, hash_id, params)
+    extract(tables, hash_id)
+    build_raw_long(tables, hash_id)
     build_stage(tables, hash_id)
     stage = tables.source(STAGE).where(F.col("hash_id") == hash_id)
     load_days(stage, tables.path(CORE), tables.path(META), params, run_type, [day])
@@ -266,8 +274,8 @@ def backfill(
     params = params or Params()
     tables = Tables(spark, root)
     hash_id = ingest(tables, "backfill", None, params)
-    extract(tables, hash_id, params)
-    build_raw_long(tables, hash_id, params)
+    extract(tables, hash_id)
+    build_raw_long(tables, hash_id)
     build_stage(tables, hash_id)
     stage = tables.source(STAGE).where(F.col("hash_id") == hash_id)
     load_days(stage, tables.path(CORE), tables.path(META), params, "backfill", days)

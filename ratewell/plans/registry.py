@@ -24,7 +24,7 @@ from ratewell.schemas import CORE_META
 from ratewell.sources import archives as zips
 from ratewell.sources.scratch import scratch_folder
 from ratewell.sources.sinks import insert_missing, promote, replace_days, replace_partition, write_snapshot
-from ratewell.sources.tables import latest_snapshot, present_keys
+from ratewell.sources.tables import find_table, latest_snapshot, present_keys
 from ratewell.streaming.landing import FILES, land_stream
 
 # Wider than the default limit: the derived rates move far more from day to day than exchange rates do.
@@ -164,7 +164,7 @@ def q_stage_gates(spark, sf_dir):
 def q_stage_promote(spark, sf_dir):
     path = f"{scratch_folder(spark, 'stage')}/stage_long"
     promote(views.rates(spark, sf_dir), lambda written: stage_gates(written, SNAPSHOT), path)
-    return plain(spark.read.parquet(path))
+    return plain(find_table(spark, path))
 
 
 # --- days ------------------------------------------------------------------------------------------------
@@ -287,7 +287,7 @@ def q_backfill_days(spark, sf_dir):
     loaded, published = views.line_publications(spark, sf_dir)
     replace_days(loaded.withColumn("loaded_at", F.current_timestamp()), core, grain="month", order=["currency"])
     promote(published, lambda written: stage_gates(written, "published"), stage)
-    load_days(spark.read.parquet(stage), core, meta, LINE_PARAMS, "backfill", strict=False)
+    load_days(find_table(spark, stage), core, meta, LINE_PARAMS, "backfill", strict=False)
     marked = spark.read.schema(CORE_META).parquet(meta).select("rate_date", F.col("row_count").alias("meta_rows"))
     return plain(
         spark.read.parquet(core).select("rate_date", "currency", "rate", "hash_id").join(marked, "rate_date", "left")
@@ -304,9 +304,9 @@ def q_insert_missing(spark, sf_dir):
             F.lit(origin).alias("origin"),
         )
 
-    write_snapshot(snapshots(orders, "o_orderkey", "o_orderstatus", "log"), path)
+    insert_missing(snapshots(orders, "o_orderkey", "o_orderstatus", "log"), path)
     insert_missing(snapshots(lines, "l_orderkey", "l_linestatus", "new"), path)
-    return spark.read.parquet(path)
+    return find_table(spark, path)
 
 
 def q_fill_missing(spark, sf_dir):

@@ -1,6 +1,5 @@
 """Writes: replace, promote, replace-day, append-missing. All go through Spark writers, so a lost task is redone by
-Spark. A replaced table is moved aside and deleted only once its successor is in place; if the driver is lost in between,
-the next reader or writer moves it back (`tables.find_table`)."""
+Spark. A table that is replaced as a whole gets a new version beside the old one (`versions`)."""
 
 from __future__ import annotations
 
@@ -12,31 +11,12 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.calendars import month_start
 from ratewell.operators.gates import enforce
-from ratewell.operators.upserts import missing_rows, one_per_key
-from ratewell.sources.tables import ASIDE, find_table, located as _located, restore
+from ratewell.operators.upserts import fill_missing, missing_rows, one_per_key
+from ratewell.sources.tables import PREFIX, find_table, prefix_of
+from ratewell.sources.versions import current, names_in, replace
 
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    files, located = _located(spark, path)
-    files.delete(located, True)
-
-
-def swap_in(spark: SparkSession, written: str, target: str) -> None:
-    """Put the finished table `written` in the place of `target` by renaming folders."""
-    files, new = _located(spark, written)
-    _, old = _located(spark, target)
-    _, aside = _located(spark, target.rstrip("/") + ASIDE)
-    restore(spark, target)
-    had_old = files.exists(old)
-    if had_old and not files.rename(old, aside):
-        raise OSError(f"cannot move {target} aside")
-    if not had_old:
-        files.mkdirs(old.getParent())
-    if not files.rename(new, old):
-        if had_old:
-            files.rename(aside, old)
-        raise OSError(f"cannot move {written} to {target}")
-    files.delete(aside, True)
+#: Files of one key prefix beyond which its rows are written together.
+MOST_FILES = 16
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -46,9 +26,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Create or replace; df may read the table it replaces."""
-    beside = path.rstrip("/") + "__new"
-    write_snapshot(df, beside)
-    swap_in(df.sparkSession, beside, path)
+    replace(df.sparkSession, path, lambda folder: write_snapshot(df, folder))
 
 
 def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None = None) -> DataFrame:
@@ -59,7 +37,7 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
     if kind != "table" or path is None:
         raise ValueError("kind is 'view', or 'table' with a path")
     replace_table(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(current(df.sparkSession, path))
 
 
 def _clustered(df: DataFrame, partition: str, order: Sequence[str]) -> DataFrame:
@@ -82,17 +60,14 @@ def promote(
     path: str,
     write: Callable[[DataFrame, str], None] = write_stage,
 ) -> None:
-    """Write the candidate beside the target in its final layout, check what was written, and only then put it
-    in place. The candidate is gone afterwards in either case."""
+    """Write the candidate as a version of the target in its final layout, check what was written, and only then make it
+    the current one. A candidate that fails is removed."""
     spark = candidate.sparkSession
-    beside = path.rstrip("/") + "__candidate"
-    try:
-        write(candidate, beside)
-        schema = candidate.schema if write is not write_stage else candidate.withColumn("rate_month", month_start(F.col("rate_date"))).schema
-        enforce(gates(spark.read.schema(schema).parquet(beside)))
-        swap_in(spark, beside, path)
-    finally:
-        drop_path(spark, beside)
+    schema = candidate.schema if write is not write_stage else candidate.withColumn("rate_month", month_start(F.col("rate_date"))).schema
+    replace(
+        spark, path, lambda folder: write(candidate, folder),
+        lambda folder: enforce(gates(spark.read.schema(schema).parquet(folder))),
+    )
 
 
 def day_frame(spark: SparkSession, days: Sequence[date], name: str = "rate_date") -> DataFrame:
@@ -148,8 +123,49 @@ def replace_partition(df: DataFrame, path: str, column: str, value: date | str)
     df.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
 
 
-def insert_missing(new: DataFrame, path: str, key: str = "hash_id") -> None:
-    """Append the rows whose key the table lacks."""
-    stored = find_table(new.sparkSession, path)
-    rows = one_per_key(new, key) if stored is None else missing_rows(stored, new, key)
-    rows.write.mode("append").parquet(path)
+# --- tables by key ---------------------------------------------------------------------------------------
+
+def _prefixes(rows: DataFrame) -> list[str]:
+    return [row[0] for row in rows.select(PREFIX).distinct().collect()]  # 256 at most
+
+
+def insert_missing(new: DataFrame, path: str, key: str = "hash_id", order: Sequence[str] = ("gcs_zip_uri",), most_files: int | None = MOST_FILES) -> None:
+    """Append the rows whose key the table lacks, one per key. The table is partitioned by a prefix made of the key; only
+    the prefixes of the new rows are read, and those that have got more than `most_files` files are written together."""
+    spark = new.sparkSession
+    rows = one_per_key(new, key, order).withColumn(PREFIX, prefix_of(F.col(key))).persist()
+    try:
+        touched = _prefixes(rows)
+        stored = find_table(spark, path, keyed=True)
+        if stored is None:
+            fresh = rows
+        elif PREFIX in stored.columns:
+            fresh = rows.join(stored.where(F.col(PREFIX).isin(touched)).select(key), key, "left_anti")
+        else:
+            missing_rows(stored, rows.drop(PREFIX), key).write.mode("append").parquet(path)
+            return
+        _clustered(fresh, PREFIX, [key]).write.mode("append").partitionBy(PREFIX).parquet(path)
+    finally:
+        rows.unpersist()
+    if most_files is not None:
+        compact(spark, path, [p for p in touched if len(_part_files(spark, path, p)) > most_files], key)
+
+
+def _part_files(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    return [name for name in names_in(spark, f"{path.rstrip('/')}/{PREFIX}={prefix}") if name.startswith("part-")]
+
+
+def compact(spark: SparkSession, path: str, prefixes: Sequence[str], key: str = "hash_id") -> None:
+    """Write the rows of the given prefixes together, one prefix after the other."""
+    for prefix in prefixes:
+        _overwrite(find_table(spark, path, keyed=True).where(F.col(PREFIX) == prefix), path, PREFIX, [key])
+
+
+def fill_table(updates: DataFrame, path: str, key: str = "hash_id", guard: str = "gcs_csv_uri", columns: Sequence[str] = ("gcs_csv_uri", "csv_size", "unpacked_at")) -> None:
+    """fill_missing on a stored table by key: only prefixes that hold updates are read and written."""
+    offered = updates.withColumn(PREFIX, prefix_of(F.col(key))).persist()
+    try:
+        touched = find_table(updates.sparkSession, path, keyed=True).where(F.col(PREFIX).isin(_prefixes(offered)))
+        _overwrite(fill_missing(touched, offered.drop(PREFIX), key, guard, columns), path, PREFIX, [key])
+    finally:
+        offered.unpersist()

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewell.functions.calendars import to_date
 from ratewell.schemas import INGESTION_LOG
+from ratewell.sources.versions import current
 
-#: Suffix of the folder in which a table stands aside while its successor is moved in.
-ASIDE = "__replaced"
+#: Partition column of tables that are looked up by key, made of the key's checksum: 256 folders.
+PREFIX = "key_prefix"
 
 
 @dataclass(frozen=True)
@@ -29,45 +31,53 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
     def source(self, name: str) -> DataFrame:
-        restore(self.spark, self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        found = self.find(name)
+        if found is None:
+            raise FileNotFoundError(f"no table {self.path(name)}")
+        return found
 
     def find(self, name: str) -> DataFrame | None:
         return find_table(self.spark, self.path(name))
 
 
-def located(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+def find_table(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame | None:
+    """The table at `path`, in its current version, or None where nothing is stored yet. The prefix column of a table by
+    key is shown if `keyed`."""
+    while True:
+        version = current(spark, path)
+        try:
+            df = spark.read.parquet(version or path)
+            return df if keyed or PREFIX not in df.columns else df.drop(PREFIX)
+        except AnalysisException as problem:
+            if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            if current(spark, path) == version:  # else it was replaced twice since it was looked up
+                return None
 
 
-def restore(spark: SparkSession, path: str) -> None:
-    """Ends a replacement that was broken off: without a table at `path` the one aside goes back to its place, else it
-    is the predecessor and goes."""
-    files, table = located(spark, path)
-    _, aside = located(spark, path.rstrip("/") + ASIDE)
-    if files.exists(aside):
-        if files.exists(table):
-            files.delete(aside, True)
-        elif not files.rename(aside, table):
-            raise OSError(f"cannot move {path} back")
+# --- tables by key ---------------------------------------------------------------------------------------
 
+def prefix_of(key: Column) -> Column:
+    """A letter, so that no reader takes a folder's name for a number, and two digits of the key's checksum."""
+    return F.concat(F.lit("k"), F.lower(F.lpad(F.hex(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 256), 2, "0")))
 
-def find_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at `path`, or None where nothing is stored yet. A table left aside by a broken-off replacement is
-    moved back first."""
-    restore(spark, path)
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+
+def prefix_of_value(key: str | None) -> str:
+    return f"k{zlib.crc32((key or '').encode()) % 256:02x}"
+
+
+def rows_of_key(spark: SparkSession, path: str, value: str, key: str = "hash_id") -> DataFrame | None:
+    """The rows of one key of a table by key, from the one partition that can hold them."""
+    df = find_table(spark, path, keyed=True)
+    if df is None:
+        return None
+    if PREFIX in df.columns:
+        df = df.where(F.col(PREFIX) == prefix_of_value(value)).drop(PREFIX)
+    return df.where(F.col(key) == value)
 
 
 def scan(spark: SparkSession, path: str, hash_id: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(current(spark, path) or path)
     return df if hash_id is None else df.where(F.col("hash_id") == hash_id)
 
 

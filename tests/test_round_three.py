@@ -1,0 +1,340 @@
+"""Versions of replaced tables, tables by key, members in chunks, any number of headers, stored archives."""
+
+from __future__ import annotations
+
+import subprocess
+import sys
+import textwrap
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratewell.functions.numeric import relative_change, safe_divide
+from ratewell.operators.gates import GateFailed
+from ratewell.operators.reshape import to_long
+from ratewell.plans import daily
+from ratewell.plans.views import zip_bytes
+from ratewell.schemas import INGESTION_LOG
+from ratewell.sources import archives as zips
+from ratewell.sources import sinks, versions
+from ratewell.sources.sinks import fill_table, insert_missing, promote, replace_table
+from ratewell.sources.tables import PREFIX, Tables, find_table, prefix_of, prefix_of_value, rows_of_key
+from ratewell.streaming.landing import land_stream, landing_files
+from tests.helpers import tuples
+from tests.test_run import PARAMS, archive
+
+
+class Lost(Exception):
+    """The driver is lost here."""
+
+
+def steps_of_replace(monkeypatch, at_step):
+    """Calls at_step(name) before and after every step of versions.replace that touches the store."""
+    for name in ("names_in", "_mark", "_sweep", "current", "drop_path"):
+        plain = getattr(versions, name)
+
+        def step(*args, _name=name, _plain=plain):
+            at_step(f"before {_name}")
+            result = _plain(*args)
+            at_step(f"after {_name}")
+            return result
+
+        monkeypatch.setattr(versions, name, step)
+
+
+def test_readers_see_one_version_or_the_other_at_every_step(spark, tmp_path, monkeypatch):
+    path, seen, busy = str(tmp_path / "t"), [], []
+    replace_table(spark.range(3), path)
+
+    def read(_):
+        if not busy:
+            busy.append(1)
+            seen.append(find_table(spark, path).count())
+            busy.clear()
+
+    with monkeypatch.context() as patched:
+        steps_of_replace(patched, read)
+        replace_table(spark.range(7), path)
+    assert find_table(spark, path).count() == 7
+    assert len(seen) > 8 and seen == sorted(seen) and set(seen) == {3, 7}
+
+
+def test_a_lost_writer_loses_no_row(spark, tmp_path, monkeypatch):
+    """The writer is stopped at each step in turn; afterwards the table has its old or its new rows, and can be replaced."""
+    path, k = str(tmp_path / "t"), 0
+    replace_table(spark.range(3), path)
+    while True:
+        left = [k]
+
+        def stop(_):
+            left[0] -= 1
+            if left[0] < 0:
+                raise Lost
+
+        with monkeypatch.context() as patched:
+            steps_of_replace(patched, stop)
+            try:
+                replace_table(spark.range(7), path)
+                ended = True
+            except Lost:
+                ended = False
+        assert find_table(spark, path).count() in ({7} if ended else {3, 7})
+        replace_table(find_table(spark, path).limit(3), path)
+        assert find_table(spark, path).count() == 3
+        if ended:
+            break
+        k += 1
+    assert k > 6
+    # What lost writers left is gone: the marker folder and the last two versions stay.
+    replace_table(spark.range(5), path)
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("_v")]) == 2
+
+
+def test_a_marker_without_content_does_not_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    (tmp_path / "t" / "_commits" / f"{2:012d}").write_bytes(b"_v-half")  # its writer was lost while it wrote this
+    assert find_table(spark, path).count() == 3
+    replace_table(spark.range(4), path)
+    assert find_table(spark, path).count() == 4
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+
+    def write(folder):
+        replace_table(spark.range(9), path)  # another writer is faster
+        spark.range(5).write.parquet(folder)
+
+    with pytest.raises(versions.ReplacedMeanwhile):
+        versions.replace(spark, path, write)
+    assert find_table(spark, path).count() == 9
+
+
+def test_a_candidate_that_fails_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    gates = lambda written: written.select(F.lit("any").alias("check"), F.lit("FAIL").alias("status")).limit(1)
+    with pytest.raises(GateFailed):
+        promote(spark.range(9), gates, path, lambda df, folder: df.write.parquet(folder))
+    assert find_table(spark, path).count() == 3
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("_v")]) == 1
+
+
+# --- tables by key ---------------------------------------------------------------------------------------
+
+def log_frame(spark, keys, **filled):
+    row = {"gcs_zip_uri": "u", "zip_size": 1, "ingested_at": datetime(2026, 1, 1), "gcs_csv_uri": None, "csv_size": None, "unpacked_at": None, **filled}
+    return spark.createDataFrame([(k, *[row[c] for c in INGESTION_LOG.fieldNames()[1:]]) for k in keys], INGESTION_LOG)
+
+
+def files_of(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.glob(f"{PREFIX}=*/part-*")}
+
+
+def test_prefix_is_the_same_on_both_sides(spark):
+    keys = ["", "a", "é\U0001F600", "0" * 64, None]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string").select("k", prefix_of(F.col("k")).alias("p")).collect()
+    assert [(r.k, r.p) for r in rows] == [(k, prefix_of_value(k)) for k in keys]
+
+
+def test_a_batch_reads_its_own_prefixes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    insert_missing(log_frame(spark, [f"key{k}" for k in range(600)]), path)
+    assert len(list((tmp_path / "log").glob(f"{PREFIX}=*"))) > 200
+    plans, plain = [], sinks._clustered
+    monkeypatch.setattr(sinks, "_clustered", lambda df, *rest: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, *rest))
+    insert_missing(log_frame(spark, ["key7"]), path)
+    scans = [line for line in plans[0].splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 1 and f"({PREFIX}" in scans[0] and f"= {prefix_of_value('key7')})" in scans[0].split("PartitionFilters")[1], scans
+    one = rows_of_key(spark, path, "key7")
+    assert one.count() == 1 and prefix_of_value("key7") in one._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert find_table(spark, path).count() == 600 and find_table(spark, path).columns == INGESTION_LOG.fieldNames()
+
+
+def test_the_number_of_files_stays_bounded(spark, tmp_path):
+    """Keys of one prefix arrive in many batches; every key is kept once."""
+    path, same = str(tmp_path / "log"), [k for k in map(str, range(40_000)) if prefix_of_value(k) == "k00"][:100]
+    assert len(same) == 100
+    for k, key in enumerate(same):
+        insert_missing(log_frame(spark, [key, same[0]]), path, most_files=8)
+        assert len(files_of(tmp_path / "log")) <= 9
+    assert sorted(r.hash_id for r in find_table(spark, path).collect()) == sorted(same)
+
+
+def test_filling_leaves_other_prefixes_alone(spark, tmp_path):
+    path = str(tmp_path / "log")
+    keys = [f"key{k}" for k in range(300)]
+    insert_missing(log_frame(spark, keys), path)
+    insert_missing(log_frame(spark, ["done"], gcs_csv_uri="old"), path)
+    before = files_of(tmp_path / "log")
+    update = log_frame(spark, ["key1", "done", "unknown"], gcs_csv_uri="new", csv_size=5).select("hash_id", "gcs_csv_uri", "csv_size", "unpacked_at")
+    fill_table(update, path)
+    after, touched = files_of(tmp_path / "log"), {prefix_of_value(k) for k in ("key1", "done", "unknown")}
+    assert {p for p in before if after.get(p) == before[p]} == {p for p in before if p.parent.name.split("=")[1] not in touched}
+    rows = {r.hash_id: r.gcs_csv_uri for r in find_table(spark, path).collect()}
+    assert rows == {**dict.fromkeys(keys), "key1": "new", "done": "old"}
+
+
+# --- archives --------------------------------------------------------------------------------------------
+
+def identified(spark, contents):
+    files = spark.createDataFrame([(n, len(c), bytearray(c)) for n, c in contents.items()], "path string, length long, content binary")
+    return zips.identify(files.withColumn("modificationTime", F.current_timestamp()), 10 << 20)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_members_in_chunks(spark, monkeypatch, end):
+    """Whatever the size of a chunk, lines are whole and all there."""
+    lines = ["Date,USD,GBP", *[f"2026-01-{d:02d},{d}.5,é{d}" for d in range(1, 29)]]
+    text = "﻿" + end.join(lines)
+    want = [line for line in lines]
+    for size in (1, 7, 64, 1 << 20):
+        with monkeypatch.context() as patched:
+            patched.setattr(zips, "CHUNK_BYTES", size)
+            rows = list(zips._open("h", zip_bytes("a.csv", text)))
+        assert [r["chunk"] for r in rows] == list(range(len(rows))) and not any(r["error"] for r in rows)
+        assert (len(rows) > 5) == (size < 100)
+        assert "".join(r["csv_text"] for r in rows).replace("\r\n", "\n").replace("\r", "\n").split("\n") == want
+        assert all(r["csv_text"].endswith(("\n", "\r")) for r in rows[:-1])
+
+
+def test_no_chunk_of_a_damaged_member(spark, monkeypatch):
+    monkeypatch.setattr(zips, "CHUNK_BYTES", 16)
+    text = "Date,USD\n" + "2026-01-05,1\n" * 50
+    bad = bytearray(zip_bytes("a.csv", text))
+    at = bad.index(b"PK\x01\x02") + 16
+    bad[at] ^= 255  # the stored checksum, so that the fault shows at the end only
+    assert [bool(r["error"]) for r in zips._open("h", bytes(bad))] == [True]
+    late = text.encode() + b"\xff\n"
+    assert ["UnicodeDecodeError" in r["error"] for r in zips._open("h", zip_bytes("a.csv", late))] == [True]
+    monkeypatch.setattr(zips, "LONGEST_LINE", 100)
+    assert ["longer than" in r["error"] for r in zips._open("h", zip_bytes("a.csv", text + "x" * 500))] == [True]
+
+
+def test_a_large_member_in_little_memory(tmp_path):
+    """An archive that inflates to 1 GB is read by a process that may use 400 MB more than it starts with."""
+    code = textwrap.dedent(f"""
+        import io, resource, sys, zipfile
+        sys.path.insert(0, {sys.path[0]!r}); sys.path.insert(0, '.')
+        from ratewell.sources import archives as zips
+        buffer, line = io.BytesIO(), b"2026-01-05,1.123456789,2.5\\n" * 40_000
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("a.csv", "w", force_zip64=True) as out:
+            out.write(b"Date,USD,GBP\\n")
+            for _ in range(1000):
+                out.write(line)
+        content = buffer.getvalue()
+        assert len(content) < 10 << 20
+        used = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        resource.setrlimit(resource.RLIMIT_DATA, ((used + 400_000) * 1024,) * 2)
+        rows = size = 0
+        for row in zips._open("h", content):
+            assert row["error"] is None, row["error"]
+            rows, size = rows + 1, size + len(row["csv_text"])
+        print(rows, size, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - used)
+    """)
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    rows, size, grown = map(int, done.stdout.split())
+    assert rows > 100 and size == 13 + 27 * 40_000_000 and grown < 300_000
+
+
+def code_of(k):
+    return "".join(chr(65 + k // 26**j % 26) for j in range(3))
+
+
+def test_five_hundred_headers_in_one_plan(spark):
+    """As many rows as to_long gives header by header, in a plan whose size does not depend on the headers."""
+    def text(k):
+        d = ",;\t"[k % 3]
+        names = [code_of(j) for j in range(k % 7, k % 7 + 1 + k // 7)]
+        quoted = f'"{k}{d}5"' if k % 5 == 0 else f"{k}.5"
+        return d.join(["Date", *names, ""]) + "\n" + d.join(["2026-01-05", *[quoted, '"a""b"', '""', "", "N/A"][:len(names)], *["1"] * (len(names) - 5), ""]) + "\r\n"
+
+    few, many = (zips.extract_members(identified(spark, {str(k): zip_bytes("a.csv", text(k)) for k in range(n)})) for n in (3, 500))
+    sizes = [len(zips.snapshots_long(m)._jdf.queryExecution().analyzed().toString()) for m in (few, many)]
+    assert sizes[1] < 1.1 * sizes[0]
+    assert many.select("layout").distinct().count() > 400
+    got = tuples(zips.snapshots_long(many), "date_str", "currency", "rate_str")
+    stored = spark.createDataFrame([tuple(r) for r in many.collect()], many.schema)
+    some = zips.layouts(stored)[::40]
+    for layout, columns, delimiter in some:
+        of_layout = stored.where(F.col("layout") == layout)
+        want = tuples(to_long(zips.load_raw(stored, layout, columns, delimiter)), "date_str", "currency", "rate_str")
+        assert tuples(zips.snapshots_long(of_layout), "date_str", "currency", "rate_str") == want
+    assert ("2026-01-05", code_of(0), "0,5") in got and any(r[2] == 'a"b' for r in got)
+
+
+def test_runs_need_the_landing_folder_once(spark, tmp_path):
+    """After the landed file is overwritten or gone, manual and backfill runs read the stored archive."""
+    landing, root = tmp_path / "in", str(tmp_path / "store")
+    landing.mkdir()
+    archive(landing, "rates.zip", {"2026-01-05": {}, "2026-01-06": {}, "2026-01-07": {}})
+    first = daily.run(spark, root, "scheduled", "2026-01-05", str(landing), PARAMS, as_of="2026-01-10")
+    (landing / "rates.zip").write_bytes(b"something else")
+    assert daily.run(spark, root, "manual", "2026-01-06", str(landing), PARAMS, as_of="2026-01-10") == first
+    (landing / "rates.zip").unlink()
+    assert daily.backfill(spark, root, ["2026-01-07", "2026-01-07"], PARAMS) == first
+    tables = Tables(spark, root)
+    assert tables.source("core_daily").count() == 21
+    log = tables.source("ingestion_log").first()
+    assert log["ingested_at"] > datetime(2026, 1, 1) and log["gcs_zip_uri"].startswith(tables.path("archives"))
+    # A stored archive that changes is noticed.
+    folder = tmp_path / "store" / "archives"
+    kept = find_table(spark, str(folder), keyed=True).collect()[0]
+    changed = spark.createDataFrame([kept]).withColumn("content", F.encode(F.lit("tampered"), "utf-8"))
+    sinks._overwrite(changed, str(folder), PREFIX, ["hash_id"])
+    with pytest.raises(GateFailed, match="size_differs"):
+        daily.run(spark, root, "manual", "2026-01-06", None, PARAMS)
+
+
+def test_run_over_a_frame_of_archives(spark, tmp_path):
+    """The source may be a table with the columns of the binaryFile source; the newest row counts."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    archive(folder, "old.zip", {"2026-01-05": {"USD": "9"}})
+    archive(folder, "new.zip", {"2026-01-05": {"USD": "1.5"}})
+    rows = [(f"x/{n}", datetime(2026, 1, d), (folder / n).stat().st_size, bytearray((folder / n).read_bytes())) for d, n in ((1, "old.zip"), (2, "new.zip"))]
+    frame = spark.createDataFrame(rows, "path string, modificationTime timestamp, length long, content binary")
+    daily.run(spark, str(tmp_path / "s"), "scheduled", "2026-01-05", frame, PARAMS, as_of="2026-01-10")
+    core = Tables(spark, str(tmp_path / "s")).source("core_daily")
+    assert core.where("currency = 'USD'").first()["rate"] == Decimal("1.5")
+    assert find_table(spark, str(tmp_path / "s" / "archives")).first()["origin"] == "x/new.zip"
+
+
+def test_stream_stores_contents_and_lists_refused_files(spark, tmp_path):
+    landing, log = tmp_path / "in", str(tmp_path / "log")
+    landing.mkdir()
+
+    def land():
+        land_stream(landing_files(spark, str(landing)), log, str(tmp_path / "cp"), 1000).awaitTermination()
+
+    data = zip_bytes("a.csv", "Date,USD\n2026-01-05,1\n")
+    for name in ("b.zip", "a.zip"):
+        (landing / name).write_bytes(data)
+    (landing / "huge.zip").write_bytes(b"x" * 1001)
+    land()
+    kept = find_table(spark, log + "__archives").collect()
+    assert [(r.origin.rsplit("/", 1)[1], bytes(r.content)) for r in kept] == [("a.zip", data)]
+    assert find_table(spark, log).first()["gcs_zip_uri"] == f"{log}__archives/hash_id={kept[0].hash_id}"
+    assert find_table(spark, log + "__refused").count() == 1
+    # Another over-size file under a name of its own is listed beside the first one.
+    (landing / "vast.zip").write_bytes(b"y" * 2002)
+    land()
+    assert sorted(r.size for r in find_table(spark, log + "__refused").collect()) == [1001, 2002]
+
+
+# --- division --------------------------------------------------------------------------------------------
+
+def test_quotients_that_fit_nowhere_are_null(spark):
+    cases = [("1e20", "1e-9"), ("3e27", "1e-9"), ("1", "0"), ("99999999999999999999999999999", "0.5")]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in cases], "a decimal(38,9), b decimal(38,9)")
+    got = df.select(safe_divide(F.col("a"), F.col("b")).alias("q"), relative_change(F.col("a"), F.col("b")).alias("c")).collect()
+    assert [tuple(r) for r in got] == [(None, None)] * 4
+    large = [("1", "1e24"), ("5e23", "1e24"), ("1e24", "1e24"), ("7e25", "3e24"), ("-1e20", "7"), ("1e19", "3")]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in large], "a decimal(38,9), b decimal(38,9)")
+    got = [str(r[0]) for r in df.select(safe_divide(F.col("a"), F.col("b"))).collect()]
+    assert got == ["0E-9", "0.500000000", "1.000000000", "23.333333333", "-14285714285714285714.285714286", "3333333333333333333.333333333"]

@@ -1,17 +1,14 @@
-"""Division at every size, replacement broken off half-way, backfill of days without rows."""
+"""Division at every size, rate maps, copies of a key."""
 
 from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
-import pytest
 from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import safe_divide
 from ratewell.operators.reconcile import rate_map
 from ratewell.operators.upserts import missing_rows
-from ratewell.sources.sinks import replace_table
-from ratewell.sources.tables import find_table
 
 
 def test_division_is_exact_at_every_size(spark):
@@ -24,19 +21,6 @@ def test_division_is_exact_at_every_size(spark):
         assert r.q == want, (r.a, r.b)
 
 
-@pytest.mark.parametrize("moved_in", [False, True])
-def test_replacement_broken_off(spark, tmp_path, moved_in):
-    path = tmp_path / "t"
-    replace_table(spark.range(3), str(path))
-    path.rename(tmp_path / "t__replaced")  # the driver is lost here
-    if moved_in:
-        spark.range(5).write.parquet(str(path))
-    assert find_table(spark, str(path)).count() == (5 if moved_in else 3)
-    replace_table(spark.range(7), str(path))
-    assert find_table(spark, str(path)).count() == 7
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
-
-
 def test_last_rate_counts_and_long_maps_are_linear(spark):
     pairs = "array(named_struct('currency', 'B', 'rate', 1), named_struct('currency', 'A', 'rate', 2), named_struct('currency', 'B', 'rate', 0))"
     assert spark.sql(f"SELECT {pairs} AS p").select(rate_map(F.col("p")).alias("m")).first()["m"] == {"A": 2, "B": 0}
