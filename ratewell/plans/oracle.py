@@ -215,6 +215,12 @@ jumps AS (
   JOIN rates o ON o.rate_date = b.baseline_date AND o.currency = n.currency
   WHERE n.currency IN ({listed(PARAMS.required)}))"""
 
+# The meta rows with some days spoilt: no rows on the 5th, no series on the 9th, no rates on the 13th, another snapshot on the 3rd.
+SPOILT_META = META.replace("meta AS (", "whole AS (", 1).replace("based AS (", """meta AS (
+  SELECT rate_date, CASE WHEN day(rate_date) = 5 THEN 0 ELSE row_count END AS row_count,
+         CASE WHEN day(rate_date) = 9 THEN 0 ELSE currency_count END AS currency_count, rates FROM whole),
+based AS (""", 1)
+
 _CODES = ", ".join(f"('{c}')" for c in PARAMS.required)
 
 SPAN = f"""span AS (
@@ -261,6 +267,16 @@ SELECT rate_date,
        CASE WHEN decision = 'rate_jump' THEN jumps END AS jumps
 FROM decided"""
 
+SPOILT_GATE = GATE.replace(META, SPOILT_META)
+for _rule, _after in (
+    ("WHEN found IS NOT NULL AND day(rate_date) = 3 THEN 'other_snapshot'", "THEN 'meta_missing'"),
+    ("WHEN base_row_count <= 0 THEN 'baseline_empty'", "THEN 'no_baseline'"),
+    ("WHEN base_currency_count <= 0 THEN 'baseline_no_series'", "THEN 'row_drift'"),
+    ("WHEN 13 IN (day(rate_date), day(baseline_date)) THEN 'no_rates'", "THEN 'series_drift'"),
+):
+    SPOILT_GATE = SPOILT_GATE.replace(_after, f"{_after}\n                 {_rule}", 1)
+SPOILT_GATE = SPOILT_GATE.replace("AS found, b.baseline_date,", "AS found, b.baseline_date, base_row_count, base_currency_count,", 1)
+
 # --- publications ----------------------------------------------------------------------------------------
 
 
@@ -371,6 +387,24 @@ listed AS (
   UNION ALL SELECT 'positive_rate', bad_rate > 0, bad_rate FROM counts
   UNION ALL SELECT 'unique_key', copies > 0, copies FROM counts)
 SELECT "check", CASE WHEN failed THEN 'FAIL' ELSE 'PASS' END AS status, observed FROM listed""",
+    "replace_table": f"""WITH {RATES} SELECT rate_date, currency, {money('cents')} AS rate FROM rates WHERE currency <> 'AUD'""",
+    "table_lookups": f"""WITH {RATES}, codes(code) AS (VALUES {_CODES}, ('none'))
+SELECT code, (SELECT count(*) FROM rates) AS table_rows, (SELECT count(*) FROM rates WHERE currency = code) AS scanned,
+       CASE WHEN code IN (SELECT currency FROM rates) THEN 'true' ELSE 'false' END AS there,
+       CASE WHEN code IN (SELECT currency FROM rates WHERE rate_date = (SELECT min(rate_date) FROM rates))
+            THEN 'true' ELSE 'false' END AS there_on_first_day
+FROM codes""",
+    "materialized_marts": f"WITH {WIDE} {DAILY}",
+    "days_to_yesterday": f"""WITH {RATES}, days AS (
+  SELECT CAST(unnest(generate_series(DATE '{START}', current_date - 1, INTERVAL 1 DAY)) AS DATE) AS rate_date)
+SELECT rate_date, count(currency) AS row_count FROM days LEFT JOIN rates USING (rate_date) GROUP BY 1""",
+    "run": f"""WITH {RATES}, last_year AS (SELECT max(year(rate_date)) AS y FROM rates),
+full_days AS (
+  SELECT rate_date FROM rates, last_year WHERE year(rate_date) = y GROUP BY 1 HAVING count(*) = {len(PARAMS.required)}),
+ends AS (SELECT min(rate_date) AS first_day, max(rate_date) AS last_day FROM full_days)
+SELECT rate_date, currency, {money('cents + 10000000')} AS rate,
+       CASE WHEN rate_date = first_day THEN 'manual' WHEN rate_date = last_day THEN 'scheduled' ELSE 'backfill' END AS run_type
+FROM rates JOIN full_days USING (rate_date), ends""",
     "stage_promote": f"""WITH {RATES} SELECT rate_date, currency, {money('cents')} AS rate, '{SNAPSHOT}' AS hash_id,
 CAST(date_trunc('month', rate_date) AS DATE) AS rate_month FROM rates""",
     "day_meta": f"""WITH {META} SELECT rate_date, 'scheduled' AS run_type, '{SNAPSHOT}' AS hash_id, row_count,
@@ -390,6 +424,7 @@ max(CASE WHEN currency = 'AUD' THEN {money('cents')} END) AS aud FROM rates GROU
     "rate_jumps": f"""WITH {META} SELECT rate_date, baseline_date, currency, {money('old')} AS base_rate,
 {money('new')} AS new_rate, jump FROM jumps""",
     "quality_gate": GATE,
+    "quality_gate_spoilt": SPOILT_GATE,
     "expected_days": f"""WITH {SPAN} SELECT rate_date, CASE WHEN expected THEN 'true' ELSE 'false' END AS expected
 FROM days""",
     "late_diff": f"""WITH {LINES}, {diff('0')}
@@ -440,7 +475,12 @@ decided AS (
                          WHEN f.hash_id <> l.hash_id THEN 'hash_differs' ELSE 'ok' END AS "check"
   FROM line_log l LEFT JOIN files f ON f.path = l.gcs_zip_uri)
 {_DECIDED}""",
-    "archive_roundtrip": f"WITH {RATES} SELECT rate_date, currency, {money('cents')} AS rate FROM rates",
-    "land_stream": """WITH years AS (SELECT DISTINCT year(l_shipdate) AS year FROM lineitem)
-SELECT year, 64::bigint AS hash_length, make_date(year, 12, 31) AS ingested_on FROM years""",
+    "archive_roundtrip": f"""WITH {RATES}, years AS (SELECT DISTINCT year(rate_date) AS y FROM rates)
+SELECT rate_date, currency, {money('cents')} AS rate, NULL AS problem FROM rates
+UNION ALL SELECT make_date(y, 12, 31), NULL, NULL, 'archive is too large' FROM years
+UNION ALL SELECT make_date(y, 12, 31), NULL, NULL, 'BadZipFile' FROM years""",
+    "land_stream": """WITH years AS (SELECT DISTINCT year(l_shipdate)::VARCHAR AS year FROM lineitem)
+SELECT 'rates-' || year || '.zip' AS origin, 64::bigint AS hash_length, NULL AS problem FROM years
+UNION ALL SELECT 'vast-' || year || '.zip', NULL, 'archive is too large' FROM years
+UNION ALL SELECT 'vast-' || year || '.zip', NULL, 'archive is too large' FROM years""",
 }

@@ -8,27 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewell.functions.calendars import day_series, is_expected, is_weekday
+from ratewell.functions.calendars import calendar, day_series, is_expected, is_weekday
 from ratewell.operators.aggregates import baseline_date, day_meta, diff_summary, duplicate_keys
-from ratewell.operators.gates import data_tests, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates
+from ratewell.operators.gates import GateFailed, data_tests, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates
 from ratewell.operators.reconcile import late_diff, missing_required, rate_jumps, rate_map, with_baseline
 from ratewell.operators.reshape import clean_long, to_long
 from ratewell.operators.upserts import fill_missing
 from ratewell.operators.windows import pct_change, rolling_stats
 from ratewell.params import Params
 from ratewell.plans import views
-from ratewell.plans.daily import load_days
+from ratewell.plans.daily import CORE, META, backfill, load_days, run
 from ratewell.plans.marts import mart_daily, model_tests, quality_daily, stg_rates, stg_rates_wide
 from ratewell.plans.views import AS_OF, LINE_CODES, PARAMS, SNAPSHOT, WHOLE_HISTORY_DAYS
 from ratewell.schemas import CORE_META
 from ratewell.sources import archives as zips
 from ratewell.sources.scratch import scratch_folder
-from ratewell.sources.sinks import insert_missing, promote, replace_days, replace_partition, write_snapshot
-from ratewell.sources.tables import find_table, latest_snapshot, present_keys
+from ratewell.sources.sinks import insert_missing, materialize, promote, replace_days, replace_partition, replace_table, write_snapshot
+from ratewell.sources.tables import Tables, contains, find_table, latest_snapshot, present_keys, scan, table_rows
 from ratewell.streaming.landing import FILES, land_stream
 
 # Wider than the default limit: the derived rates move far more from day to day than exchange rates do.
 GATE_PARAMS = Params(start_date=views.START, holidays=("1996-12-25", "2000-12-25"), rate_jump=0.5)
+RUN_PARAMS = Params(start_date=views.START, holidays=(), rate_jump=1e6, core_grain="month", late_enabled=True, lookback_days=3000)
 LINE_PARAMS = Params(start_date=views.START, required=LINE_CODES, holidays=(), core_grain="month")
 
 
@@ -221,6 +222,10 @@ def q_quality_gate(spark, sf_dir):
     gated = quality_gate(
         _stored_meta(spark, sf_dir), _shipping_calendar(spark, sf_dir, GATE_PARAMS.holidays), GATE_PARAMS, SNAPSHOT
     )
+    return _gate_columns(gated)
+
+
+def _gate_columns(gated: DataFrame) -> DataFrame:
     return gated.select(
         "rate_date", "status", "check", "baseline_date", "observed", "threshold",
         F.array_join("missing", ",").alias("missing"),
@@ -228,6 +233,20 @@ def q_quality_gate(spark, sf_dir):
     )
 
 
+def q_quality_gate_spoilt(spark, sf_dir):
+    """The same days over a meta table in which some days are of another snapshot, or lack rows, series or rates."""
+    on = lambda day: F.dayofmonth("rate_date") == day
+    meta = _meta(spark, sf_dir)
+    spoilt = meta.withColumns({
+        "hash_id": F.when(on(3), "other").otherwise(F.col("hash_id")),
+        "row_count": F.when(on(5), 0).otherwise(F.col("row_count")),
+        "currency_count": F.when(on(9), 0).otherwise(F.col("currency_count")),
+        "rates": F.when(on(13), F.array().cast(meta.schema["rates"].dataType)).otherwise(F.col("rates")),
+    })
+    days = _shipping_calendar(spark, sf_dir, GATE_PARAMS.holidays)
+    return _gate_columns(quality_gate(_stored(spoilt, "core_meta"), days, GATE_PARAMS, SNAPSHOT))
+
+
 def _shipping_calendar(spark, sf_dir, holidays):
     day = F.col("l_shipdate").cast("date")
     span = views.table(spark, sf_dir, "lineitem").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
@@ -369,28 +388,111 @@ def q_snapshot_audit(spark, sf_dir):
 
 # --- archives and landing --------------------------------------------------------------------------------
 
+def _with_bad_files(landed: DataFrame) -> DataFrame:
+    """Each archive beside a file that is too large and one that is no archive, of the same time."""
+    limit = F.lit(PARAMS.max_archive_bytes + 1).cast("long")
+    name = F.regexp_extract("path", r"rates-(\d+)\.zip", 1)
+    vast = landed.withColumns({"path": F.concat(F.lit("vast-"), name, F.lit(".zip")), "length": limit})
+    text = F.encode(F.concat(F.lit("no archive of "), name), "utf-8")
+    broken = landed.withColumns({"path": F.concat(F.lit("broken-"), name, F.lit(".zip")), "content": text, "length": F.length(text).cast("long")})
+    return landed.unionByName(vast).unionByName(broken)
+
+
 def q_archive_roundtrip(spark, sf_dir):
-    """Rates packed into yearly archives, opened, checked, parsed, made long and typed again."""
-    found = zips.identify(views.archives(spark, sf_dir), PARAMS.max_archive_bytes)
-    members = _stored(zips.extract_members(found), "members", "layout")
-    return plain(clean_long(zips.snapshots_long(members)).drop("hash_id"))
+    """Rates packed into yearly archives, opened, checked, parsed, made long and typed again, and what was wrong with others."""
+    files = _stored(_with_bad_files(views.archives(spark, sf_dir)), "landed")
+    found = zips.identify(files, PARAMS.max_archive_bytes)
+    members = _stored(zips.extract_members(found), "members")
+    rates = clean_long(zips.snapshots_long(members, strict=False)).select("rate_date", "currency", "rate", F.lit(None).cast("string").alias("problem"))
+    too_large = zips.refused(files, PARAMS.max_archive_bytes).select(F.col("modified").cast("date").alias("rate_date"), F.col("error").alias("problem"))
+    times = found.select("hash_id", F.col("modified").cast("date").alias("rate_date"))
+    bad = zips.rejected(members).join(times, "hash_id").select("rate_date", F.regexp_extract("error", r"^(\w+):", 1).alias("problem"))
+    return plain(rates.unionByName(too_large.unionByName(bad), allowMissingColumns=True))
 
 
 def q_land_stream(spark, sf_dir):
-    """The log after a stream landed every archive twice under two names."""
+    """What a stream stored after every archive landed twice under two names, and the files that it refused, one of which
+    landed in two sizes under one name."""
     folder = scratch_folder(spark, "landing")
     files, log = f"{folder}/files", f"{folder}/ingestion_log"
-    landed = views.archives(spark, sf_dir)
+    landed = _with_bad_files(views.archives(spark, sf_dir)).where(~F.col("path").startswith("broken"))
     write_snapshot(landed, files)
-    again = spark.read.parquet(files).withColumn("path", F.concat("path", F.lit(".again")))
+    again = spark.read.parquet(files).withColumns({
+        "path": F.when(F.col("path").startswith("vast"), F.col("path")).otherwise(F.concat("path", F.lit(".again"))),
+        "length": F.when(F.col("path").startswith("vast"), F.col("length") + 1).otherwise(F.col("length")),
+    })
     again.write.mode("append").parquet(files)
     stream = spark.readStream.schema(FILES).parquet(files)
     land_stream(stream, log, f"{folder}/checkpoint", PARAMS.max_archive_bytes).awaitTermination()
-    return spark.read.parquet(log).select(
-        F.regexp_extract("gcs_zip_uri", r"rates-(\d+)\.zip", 1).cast("long").alias("year"),
-        F.length("hash_id").cast("long").alias("hash_length"),
-        F.col("ingested_at").cast("date").alias("ingested_on"),
-    )
+    kept = find_table(spark, f"{log}__archives").select("hash_id", "origin").join(find_table(spark, log).select("hash_id"), "hash_id")
+    kept = kept.select("origin", F.length("hash_id").cast("long").alias("hash_length"), F.lit(None).cast("string").alias("problem"))
+    bad = find_table(spark, f"{log}__refused").select(F.col("path").alias("origin"), F.lit(None).cast("long").alias("hash_length"), F.col("error").alias("problem"))
+    return kept.unionByName(bad)
+
+
+# --- stored tables and batch runs ------------------------------------------------------------------------
+
+def q_replace_table(spark, sf_dir):
+    """A table after it was written, replaced by a part of itself, and a replacement failed."""
+    path = f"{scratch_folder(spark, 'replaced')}/rates"
+    replace_table(views.rates(spark, sf_dir), path)
+    replace_table(find_table(spark, path).where(F.col("currency") != "AUD"), path)
+    try:
+        promote(views.rates(spark, sf_dir).withColumn("rate", -F.col("rate")), lambda written: stage_gates(written, SNAPSHOT), path)
+    except GateFailed:
+        pass
+    return plain(find_table(spark, path).select("rate_date", "currency", "rate"))
+
+
+def q_table_lookups(spark, sf_dir):
+    """What the probes say of a stored table, with each code as a snapshot."""
+    root = scratch_folder(spark, "lookups")
+    tables = Tables(spark, root)
+    write_snapshot(views.rates(spark, sf_dir).withColumn("hash_id", F.col("currency")), tables.path("rates"))
+    rates = tables.source("rates")
+    first = rates.agg(F.min("rate_date")).first()[0]
+    found = [
+        (code, table_rows(spark, tables.path("rates")), scan(spark, tables.path("rates"), code).count(),
+         str(contains(rates, code)).lower(), str(contains(rates, code, first)).lower())
+        for code in (*PARAMS.required, "none")
+    ]
+    return spark.createDataFrame(found, "code string, table_rows long, scanned long, there string, there_on_first_day string")
+
+
+def q_materialized_marts(spark, sf_dir):
+    """The daily mart over a stored staging table and a view."""
+    stg = materialize(_stg(spark, sf_dir), "stg_rates", "table", f"{scratch_folder(spark, 'models')}/stg_rates")
+    wide = materialize(stg_rates_wide(stg, PARAMS), "stg_rates_wide", "view")
+    return plain(mart_daily(wide, PARAMS))
+
+
+def q_days_to_yesterday(spark, sf_dir):
+    """Rows per calendar day from the start date to yesterday."""
+    days = calendar(spark, views.START)
+    counts = views.rates(spark, sf_dir).groupBy("rate_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return days.join(counts, "rate_date", "left").select("rate_date", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+
+
+def q_run(spark, sf_dir):
+    """Core after batch runs of all types over a table of archives: of the newest archive's complete days the first in a
+    manual run, the last in a scheduled one, and those between in a backfill."""
+    folder = scratch_folder(spark, "run")
+    # Raised, so that no rate changes by as much as the declared tests of the marts forbid.
+    landed = _stored(views.archives(spark, sf_dir, 100_000), "landed")
+    year = landed.agg(F.max(F.year("modificationTime"))).first()[0]
+    rates = views.rates(spark, sf_dir).where(F.year("rate_date") == year)
+    complete = rates.groupBy("rate_date").count().where(F.col("count") == len(RUN_PARAMS.required))
+    days = [r[0] for r in complete.orderBy("rate_date").collect()]  # days of one year
+    for kind, day in zip(("manual", "scheduled"), (days[:1], days[-1:])):
+        if day:
+            run(spark, folder, kind, day[0], landed, RUN_PARAMS, AS_OF)
+        if kind == "manual" and days[1:-1]:
+            backfill(spark, folder, days[1:-1], RUN_PARAMS)
+    tables = Tables(spark, folder)
+    core, meta = tables.find(CORE), tables.find(META)
+    if core is None:
+        return spark.createDataFrame([], "rate_date date, currency string, rate double, run_type string")
+    return plain(core.join(meta.select("rate_date", "run_type"), "rate_date").select("rate_date", "currency", "rate", "run_type"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -136,16 +136,17 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(spark, sf_dir).select(F.inline(F.transform(copies, text)), "hash_id")
 
 
-def wide_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rates as a provider's wide table: Date and one text column per code, NULL where a code has none."""
+def wide_text(spark: SparkSession, sf_dir: str, lift: int = 0) -> DataFrame:
+    """The rates, each raised by `lift`, as a provider's wide table: Date and one text column per code, NULL where a code has
+    none."""
     cells = [
-        F.max(F.when(F.col("currency") == c, F.col("rate").cast("decimal(18,2)").cast("string"))).alias(c)
+        F.max(F.when(F.col("currency") == c, (F.col("rate") + lift).cast("decimal(18,2)").cast("string"))).alias(c)
         for c in PARAMS.required
     ]
     return rates(spark, sf_dir).groupBy(F.col("rate_date").cast("string").alias("Date")).agg(*cells)
 
 
-def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+def archives(spark: SparkSession, sf_dir: str, lift: int = 0) -> DataFrame:
     """One ZIP per ship year with the columns of the binaryFile source; a year has at most 366 lines of six
     values. Even years use semicolons."""
     codes = list(PARAMS.required)
@@ -154,7 +155,7 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array("Date", *[F.coalesce(F.col(c), F.lit("N/A")) for c in codes], F.lit("")), "\u0001"
     )
     years = (
-        wide_text(spark, sf_dir)
+        wide_text(spark, sf_dir, lift)
         .select(F.substring("Date", 1, 4).alias("year"), F.replace(line, F.lit("\u0001"), delimiter).alias("line"),
                 delimiter.alias("delimiter"))
         .groupBy("year", "delimiter")

@@ -13,7 +13,7 @@ from ratewell.functions.calendars import month_start
 from ratewell.operators.gates import enforce
 from ratewell.operators.upserts import fill_missing, missing_rows, one_per_key
 from ratewell.sources.tables import PREFIX, find_table, prefix_of
-from ratewell.sources.versions import current, names_in, replace
+from ratewell.sources.versions import current, located, replace
 
 #: Files of one key prefix beyond which its rows are written together.
 MOST_FILES = 16
@@ -126,7 +126,7 @@ def replace_partition(df: DataFrame, path: str, column: str, value: date | str)
 # --- tables by key ---------------------------------------------------------------------------------------
 
 def _prefixes(rows: DataFrame) -> list[str]:
-    return [row[0] for row in rows.select(PREFIX).distinct().collect()]  # 256 at most
+    return [row[0] for row in rows.select(PREFIX).distinct().collect()]  # PREFIXES at most
 
 
 def insert_missing(new: DataFrame, path: str, key: str = "hash_id", order: Sequence[str] = ("gcs_zip_uri",), most_files: int | None = MOST_FILES) -> None:
@@ -148,11 +148,12 @@ def insert_missing(new: DataFrame, path: str, key: str = "hash_id", order: Seque
     finally:
         rows.unpersist()
     if most_files is not None:
-        compact(spark, path, [p for p in touched if len(_part_files(spark, path, p)) > most_files], key)
+        compact(spark, path, [p for p in touched if _part_files(spark, path, p) > most_files], key)
 
 
-def _part_files(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    return [name for name in names_in(spark, f"{path.rstrip('/')}/{PREFIX}={prefix}") if name.startswith("part-")]
+def _part_files(spark: SparkSession, path: str, prefix: str) -> int:
+    files, pattern = located(spark, f"{path.rstrip('/')}/{PREFIX}={prefix}/part-*")
+    return len(files.globStatus(pattern))
 
 
 def compact(spark: SparkSession, path: str, prefixes: Sequence[str], key: str = "hash_id") -> None:

@@ -16,8 +16,9 @@ from ratewell.functions.calendars import to_date
 from ratewell.schemas import INGESTION_LOG
 from ratewell.sources.versions import current
 
-#: Partition column of tables that are looked up by key, made of the key's checksum: 256 folders.
-PREFIX = "key_prefix"
+#: Partition column of tables that are looked up by key, made of the key's checksum, and how many folders it makes: as many
+#: as Spark lists without a job.
+PREFIX, PREFIXES = "key_prefix", 32
 
 
 @dataclass(frozen=True)
@@ -59,11 +60,11 @@ def find_table(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame
 
 def prefix_of(key: Column) -> Column:
     """A letter, so that no reader takes a folder's name for a number, and two digits of the key's checksum."""
-    return F.concat(F.lit("k"), F.lower(F.lpad(F.hex(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 256), 2, "0")))
+    return F.concat(F.lit("k"), F.lower(F.lpad(F.hex(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % PREFIXES), 2, "0")))
 
 
 def prefix_of_value(key: str | None) -> str:
-    return f"k{zlib.crc32((key or '').encode()) % 256:02x}"
+    return f"k{zlib.crc32((key or '').encode()) % PREFIXES:02x}"
 
 
 def rows_of_key(spark: SparkSession, path: str, value: str, key: str = "hash_id") -> DataFrame | None:

@@ -20,7 +20,7 @@ from ratewell.schemas import INGESTION_LOG
 from ratewell.sources import archives as zips
 from ratewell.sources import sinks, versions
 from ratewell.sources.sinks import fill_table, insert_missing, promote, replace_table
-from ratewell.sources.tables import PREFIX, Tables, find_table, prefix_of, prefix_of_value, rows_of_key
+from ratewell.sources.tables import PREFIX, PREFIXES, Tables, find_table, prefix_of, prefix_of_value, rows_of_key
 from ratewell.streaming.landing import land_stream, landing_files
 from tests.helpers import tuples
 from tests.test_run import PARAMS, archive
@@ -144,7 +144,7 @@ def test_prefix_is_the_same_on_both_sides(spark):
 def test_a_batch_reads_its_own_prefixes(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "log")
     insert_missing(log_frame(spark, [f"key{k}" for k in range(600)]), path)
-    assert len(list((tmp_path / "log").glob(f"{PREFIX}=*"))) > 200
+    assert len(list((tmp_path / "log").glob(f"{PREFIX}=*"))) == PREFIXES
     plans, plain = [], sinks._clustered
     monkeypatch.setattr(sinks, "_clustered", lambda df, *rest: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, *rest))
     insert_missing(log_frame(spark, ["key7"]), path)
@@ -157,7 +157,7 @@ def test_a_batch_reads_its_own_prefixes(spark, tmp_path, monkeypatch):
 
 def test_the_number_of_files_stays_bounded(spark, tmp_path):
     """Keys of one prefix arrive in many batches; every key is kept once."""
-    path, same = str(tmp_path / "log"), [k for k in map(str, range(40_000)) if prefix_of_value(k) == "k00"][:100]
+    path, same = str(tmp_path / "log"), [k for k in map(str, range(10_000)) if prefix_of_value(k) == "k00"][:100]
     assert len(same) == 100
     for k, key in enumerate(same):
         insert_missing(log_frame(spark, [key, same[0]]), path, most_files=8)
