@@ -11,16 +11,15 @@ from pyspark.sql import functions as F
 from ratewell.functions.calendars import expected_days, is_expected, to_date
 from ratewell.operators.aggregates import day_meta
 from ratewell.operators.gates import (
-    GateFailed, data_tests, enforce, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates,
+    GateFailed, enforce, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates,
 )
 from ratewell.operators.reconcile import late_diff, meta_around
 from ratewell.operators.reshape import clean_long, to_long
 from ratewell.params import Params
-from ratewell.plans.marts import mart_daily, model_tests, quality_daily, stg_rates, stg_rates_wide
-from ratewell.operators.windows import pct_change, rolling_stats
+from ratewell.plans.refresh import CORE, META, refresh_marts
 from ratewell.sources import archives as zips
 from ratewell.sources.sinks import (
-    day_frame, fill_table, insert_missing, materialize, month_starts, promote, replace_days, replace_partition, replace_table,
+    day_frame, fill_table, insert_missing, month_starts, promote, replace_days, replace_partition, replace_table,
 )
 from ratewell.sources.tables import Tables, contains, latest_snapshot, rows_of_key, snapshot_by_hash
 
@@ -31,8 +30,6 @@ ARCHIVES = "archives"
 CSV_OBJECTS = "csv"
 RAW_LONG = "raw_long"
 STAGE = "stage_long"
-CORE = "core_daily"
-META = "core_meta"
 LATE = "late_data_diff"
 
 
@@ -209,29 +206,6 @@ def detect_late(tables: Tables, hash_id: str, day: date, params: Params) -> None
     replace_partition(diff, tables.path(LATE), "check_date", day)
 
 
-def build_marts(tables: Tables, params: Params, as_of: date | str | None = None) -> dict[str, DataFrame]:
-    """Store the staging and mart models, each read by the next from its table, and run the declared tests of
-    a layer before the next layer is built."""
-    tests = model_tests(params)
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, "table", tables.path(name))
-
-    stg = stored(stg_rates(tables.source(CORE), params), "stg_rates")
-    wide = materialize(stg_rates_wide(stg, params), "stg_rates_wide", "view")
-    staging = {"stg_rates": stg, "stg_rates_wide": wide}
-    enforce(data_tests(staging, tests))
-    changes = stored(pct_change(stg), "mart_pct_change")
-    marts = {
-        "mart_daily": stored(mart_daily(wide, params), "mart_daily"),
-        "mart_pct_change": changes,
-        "mart_quality_daily": stored(quality_daily(stg, changes, params, as_of), "mart_quality_daily"),
-        "mart_rolling_stats": stored(rolling_stats(stg), "mart_rolling_stats"),
-    }
-    enforce(data_tests(marts, tests))
-    return {**staging, **marts}
-
-
 def run(
     spark: SparkSession,
     root: str,
@@ -261,8 +235,8 @@ def run(
             raise GateFailed(f"no meta row for {day}")
     else:
         enforce(quality_gate(meta_around(meta, day, day), checked, params, hash_id))
-    if run_type != "backfill" and tables.find(CORE) is not None:
-        build_marts(tables, params, as_of)
+    if run_type != "backfill" and meta is not None and tables.find(CORE) is not None:
+        refresh_marts(tables, params, as_of)
     return hash_id
 
 

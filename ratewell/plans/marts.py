@@ -89,17 +89,23 @@ def quality_daily(
     )
 
 
-def display_order(df: DataFrame, model: str) -> DataFrame:
-    """The order in which a model is shown; stored tables are sorted inside their files only."""
+def display_order_of(model: str) -> list[Column]:
+    """The order in which a model is shown, and in which its stored months are written."""
     newest = F.col("rate_date").desc()
-    orders = {
+    return {
+        "stg_rates": [F.col("rate_date"), F.col("currency")],
         "stg_rates_wide": [newest],
         "mart_daily": [F.col("base_currency"), newest],
         "mart_pct_change": [F.col("currency"), newest],
         "mart_quality_daily": [newest],
         "mart_rolling_stats": [newest, F.col("currency")],
-    }
-    return df.orderBy(*orders[model]) if model in orders else df
+    }.get(model, [])
+
+
+def display_order(df: DataFrame, model: str) -> DataFrame:
+    """A model in the order in which it is shown. Its stored files hold each month in that order."""
+    order = display_order_of(model) if model != "stg_rates" else []
+    return df.orderBy(*order) if order else df
 
 
 def model_tests(params: Params) -> dict[str, list]:
