@@ -179,11 +179,9 @@ def snapshot_audit(
     stored = files.select(
         F.col("path").alias("_path"), F.col("size").alias("_size"), recomputed.alias("_hash")
     )
-    # An empty path names no file: those rows stay out of the join, where they would be one key.
-    named = F.col(path).isNotNull() & (F.col(path) != "")
-    checked = log.where(named).join(stored, F.col(path) == F.col("_path"), "left")
-    nowhere = log.where(F.col(path) == "").select("*", *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
-    checked = checked.unionByName(nowhere)
+    # An empty path names no file: such rows are spread by their hash, under names that no path has.
+    named = F.when(F.col(path) == "", F.concat(F.lit("\u0000"), F.col("hash_id"))).otherwise(F.col(path))
+    checked = log.where(F.col(path).isNotNull()).withColumn("_named", named).join(stored, F.col("_named") == F.col("_path"), "left")
     check = F.when(F.col("_path").isNull(), "file_missing").when(
         ~F.col("_size").eqNullSafe(F.col(size)), "size_differs"
     )

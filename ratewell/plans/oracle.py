@@ -4,7 +4,7 @@ places are computed exactly in integers, rounded half up as NUMERIC does."""
 from __future__ import annotations
 
 from ratewell.plans.marts import model_tests
-from ratewell.plans.registry import GATE_PARAMS
+from ratewell.plans.registry import GATE_PARAMS, GATED_YEAR
 from ratewell.plans.views import AS_OF, LINE_CODES, PAIR_CODES, PARAMS, SNAPSHOT, START
 
 NANO = "1000000000"
@@ -425,6 +425,7 @@ max(CASE WHEN currency = 'AUD' THEN {money('cents')} END) AS aud FROM rates GROU
 {money('new')} AS new_rate, jump FROM jumps""",
     "quality_gate": GATE,
     "quality_gate_spoilt": SPOILT_GATE,
+    "backfill_gate": GATE + " WHERE rate_date BETWEEN DATE '{}' AND DATE '{}'".format(*GATED_YEAR),
     "expected_days": f"""WITH {SPAN} SELECT rate_date, CASE WHEN expected THEN 'true' ELSE 'false' END AS expected
 FROM days""",
     "late_diff": f"""WITH {LINES}, {diff('0')}
@@ -449,6 +450,13 @@ offered AS (
   SELECT DISTINCT {_HASH.format("(l_orderkey::varchar || '-' || l_linestatus)")} AS hash_id FROM lineitem)
 SELECT hash_id, 'log' AS origin FROM logged
 UNION ALL SELECT hash_id, 'new' FROM offered WHERE hash_id NOT IN (SELECT hash_id FROM logged)""",
+    "fill_table": f"""WITH {ORDER_LOG}, updates AS (
+  SELECT {_HASH.format('l_orderkey')} AS hash_id, 'new/' || l_orderkey::varchar AS uri, count(*) AS n,
+         CAST(max(l_shipdate) AS DATE) AS day FROM lineitem GROUP BY l_orderkey)
+SELECT hash_id, gcs_zip_uri, CASE WHEN gcs_csv_uri IS NULL THEN uri ELSE gcs_csv_uri END AS gcs_csv_uri,
+       CASE WHEN gcs_csv_uri IS NULL THEN n ELSE csv_size END AS csv_size,
+       CASE WHEN gcs_csv_uri IS NULL THEN day ELSE unpacked_at END AS unpacked_at
+FROM order_log LEFT JOIN updates USING (hash_id)""",
     "fill_missing": f"""WITH {ORDER_LOG}, updates AS (
   SELECT {_HASH.format('l_orderkey')} AS hash_id, 'new/' || l_orderkey::varchar AS uri, count(*) AS n,
          CAST(max(l_shipdate) AS DATE) AS day FROM lineitem GROUP BY l_orderkey)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewell.functions.calendars import calendar, day_series, is_expected, is_weekday
+from ratewell.functions.calendars import calendar, day_series, expected_days, is_expected, is_weekday
 from ratewell.operators.aggregates import baseline_date, day_meta, diff_summary, duplicate_keys
 from ratewell.operators.gates import GateFailed, data_tests, log_gate, quality_gate, required_gate, snapshot_audit, stage_gates
-from ratewell.operators.reconcile import late_diff, missing_required, rate_jumps, rate_map, with_baseline
+from ratewell.operators.reconcile import late_diff, meta_around, missing_required, rate_jumps, rate_map, with_baseline
 from ratewell.operators.reshape import clean_long, to_long
 from ratewell.operators.upserts import fill_missing
 from ratewell.operators.windows import pct_change, rolling_stats
@@ -23,12 +23,14 @@ from ratewell.plans.views import AS_OF, LINE_CODES, PARAMS, SNAPSHOT, WHOLE_HIST
 from ratewell.schemas import CORE_META
 from ratewell.sources import archives as zips
 from ratewell.sources.scratch import scratch_folder
-from ratewell.sources.sinks import insert_missing, materialize, promote, replace_days, replace_partition, replace_table, write_snapshot
+from ratewell.sources.sinks import fill_table, insert_missing, materialize, promote, replace_days, replace_partition, replace_table, write_snapshot
 from ratewell.sources.tables import Tables, contains, find_table, latest_snapshot, present_keys, scan, table_rows
 from ratewell.streaming.landing import FILES, land_stream
 
 # Wider than the default limit: the derived rates move far more from day to day than exchange rates do.
 GATE_PARAMS = Params(start_date=views.START, holidays=("1996-12-25", "2000-12-25"), rate_jump=0.5)
+#: The days that the backfill gate is asked for.
+GATED_YEAR = ("1998-01-01", "1998-12-31")
 RUN_PARAMS = Params(start_date=views.START, holidays=(), rate_jump=1e6, core_grain="month", late_enabled=True, lookback_days=3000)
 LINE_PARAMS = Params(start_date=views.START, required=LINE_CODES, holidays=(), core_grain="month")
 
@@ -225,6 +227,14 @@ def q_quality_gate(spark, sf_dir):
     return _gate_columns(gated)
 
 
+def q_backfill_gate(spark, sf_dir):
+    """All calendar days of one year, as a backfill asks for them, over the months of a stored meta table that decide them."""
+    path = f"{scratch_folder(spark, 'meta')}/core_meta"
+    replace_days(_meta(spark, sf_dir), path, grain="month")
+    days = expected_days(spark, *GATED_YEAR, GATE_PARAMS.holidays)
+    return _gate_columns(quality_gate(meta_around(find_table(spark, path), *GATED_YEAR), days, GATE_PARAMS, SNAPSHOT))
+
+
 def _gate_columns(gated: DataFrame) -> DataFrame:
     return gated.select(
         "rate_date", "status", "check", "baseline_date", "observed", "threshold",
@@ -328,21 +338,35 @@ def q_insert_missing(spark, sf_dir):
     return find_table(spark, path)
 
 
-def q_fill_missing(spark, sf_dir):
-    lines = views.table(spark, sf_dir, "lineitem")
+def _extracted(spark, sf_dir):
+    """Extraction fields for the snapshots of the lines' orders."""
     key = F.col("l_orderkey").cast("string")
-    updates = lines.groupBy("l_orderkey").agg(
+    return views.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("csv_size"), F.max("l_shipdate").alias("unpacked_at")
     ).select(
         views.order_hash(key).alias("hash_id"), F.concat(F.lit("new/"), key).alias("gcs_csv_uri"),
         "csv_size", "unpacked_at",
     )
-    filled = fill_missing(views.order_log(spark, sf_dir), updates)
-    return filled.select(
+
+
+def _filled_columns(log):
+    return log.select(
         "hash_id", "gcs_zip_uri", "gcs_csv_uri", "csv_size", F.col("unpacked_at").cast("date").alias("unpacked_at")
     )
 
 
+def q_fill_missing(spark, sf_dir):
+    return _filled_columns(fill_missing(views.order_log(spark, sf_dir), _extracted(spark, sf_dir)))
+
+
+def q_fill_table(spark, sf_dir):
+    """The same filling of a stored log, prefix by prefix."""
+    path = f"{scratch_folder(spark, 'log')}/ingestion_log"
+    insert_missing(views.order_log(spark, sf_dir), path)
+    fill_table(_extracted(spark, sf_dir), path)
+    return _filled_columns(find_table(spark, path))
+
+
 def q_latest_snapshot(spark, sf_dir):
     newest = latest_snapshot(views.order_log(spark, sf_dir), ["gcs_zip_uri", "zip_size", "ingested_at"])
     return newest.withColumn("ingested_at", F.col("ingested_at").cast("date"))
