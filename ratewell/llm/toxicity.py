@@ -5,10 +5,11 @@ shard of the labelled rows runs FTRL-proximal by rows in hash order, with a lear
 round of passes the shards' states are brought together. The L1 term leaves few weights other than zero; those alone are sent to the tasks
 that score.
 
-The model is fitted on at most SAMPLE labelled rows (all, if there are fewer), chosen by a hash of the id. A null or
-empty text has the score of the bias alone. A null id is never labelled and not held out. Repeated rows are scored for
-themselves; of contradicting labels of one id the highest counts. Without labels every score is next to
-0. Only ids, texts and labels are read."""
+The model is fitted on about SAMPLE different labelled rows (all, if there are fewer), chosen by a hash of id and text. A null
+or empty text has the score of the bias alone; very long texts are hashed whole. A null id is never labelled and not held out.
+Repeated rows are learned once and scored for themselves; of contradicting labels of one id the highest counts. Without labels
+every score is next to 0, without documents there are no rows. Only ids, texts and labels are read; drop_toxic keeps whole rows
+in a column of their own, so that names can't clash."""
 
 from __future__ import annotations
 
@@ -66,18 +67,20 @@ def ftrl_pass(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """shard, order, toxic and features of the labelled rows to learn from."""
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(F.pmod(doc_hash(), F.lit(4)) != 2)
-    n = known.count()
+    """shard, h, toxic and features of the labelled rows to learn from. h is the hash of id and text: equal rows are one, and
+    rows are chosen and dealt by it, so that an id with many rows is bounded like any others."""
+    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where(F.pmod(doc_hash(), F.lit(4)) != 2)
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
+    n = rows.select("doc_id", "h").join(known, "doc_id").select("h").distinct().count()
     share, shards = min(1.0, sample / max(1, n)), max(1, -(-min(n, sample) // SHARD_ROWS))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    chosen = rows.where(F.pmod(F.col("h"), F.lit(1 << 20)) < int(share * (1 << 20))).join(known, "doc_id")
+    texts = chosen.dropDuplicates(["h"]).withColumn("shard", F.pmod(F.shiftright("h", 20), F.lit(shards)))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"shard": b.doc_id % shards, "doc_id": b.doc_id, "toxic": b.toxic.astype("int32"), "at": [np.unique(features(t)).astype(np.int32) for t in b.text]})
+            yield pd.DataFrame({"shard": b.shard, "h": b.h, "toxic": b.toxic, "at": [np.unique(features(t)).astype(np.int32) for t in b.text]})
 
-    return stored(texts.mapInPandas(hashed, "shard long, doc_id long, toxic int, at array<int>"), "toxic-training")
+    return stored(texts.select("shard", "h", "toxic", "text").mapInPandas(hashed, "shard long, h long, toxic int, at array<int>"), "toxic-training")
 
 
 def _shard_pass(state: Broadcast, turn: int):
@@ -89,7 +92,7 @@ def _shard_pass(state: Broadcast, turn: int):
         z[at], n[at] = z0, n0
         rows = [(np.append(at, _BIAS), y) for at, y in zip(group["at"], group.toxic)]
         for k in range(PASSES):
-            order = np.lexsort((group.doc_id, [zlib.crc32(f"{turn}:{k}:{i}".encode()) for i in group.doc_id]))
+            order = np.lexsort((group.h, [zlib.crc32(f"{turn}:{k}:{i}".encode()) for i in group.h]))
             ftrl_pass([rows[j] for j in order], z, n)
         at = np.flatnonzero(n)
         return pd.DataFrame({"at": [at.astype(np.int32).tobytes()], "z": [z[at].astype(np.float32).tobytes()], "n": [n[at].astype(np.float32).tobytes()], "rows": [len(group)]})
