@@ -8,7 +8,8 @@ shortest distance. The shards' results are merged and scored in double precision
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id. Repeated rows
 of one id and vector count once. Vectors of different lengths only meet their own kind. Ties go to the smaller id. A query
-with fewer candidates than asked for gets all of them."""
+with fewer candidates than asked for gets all of them. No vectors: no rows. Only vec_id and embedding are read, so other
+columns can have any name."""
 
 from __future__ import annotations
 

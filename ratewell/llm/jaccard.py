@@ -13,7 +13,8 @@ link count nor a class is lost, whatever the size of the crowd. Classes are the
 
 Shingles are five words (split at white space, lower case); a shorter text is one shingle of all its words, an empty or null
 text has none and is only in a class with other empty texts. Null ids take part as texts; a class's id is its smallest id.
-Repeated rows are copies. Result: one row per row of documents."""
+Repeated rows are copies. Very long texts are shingled whole. No documents: no rows. Only doc_id and text are read; keep_one
+keeps whole rows in a column of their own, so names can't clash. Result: one row per row of documents."""
 
 from __future__ import annotations
 

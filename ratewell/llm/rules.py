@@ -7,7 +7,9 @@ the labelled rows by feature and bin, so a few hundred rows reach the driver, wh
 
 Null or empty text: no words, all counts 0, base_failed. Null ids are kept and never matched to a label. Repeated rows
 give repeated results. Ties between thresholds go to the feature that comes first and the smaller threshold. No label
-rows, or labels of one kind only: an empty list, which keeps what the base keeps."""
+rows, or labels of one kind only: an empty list, which keeps what the base keeps. Very long texts are counted whole. No
+documents: no rows. Only doc_id, text and labels are read; keep_good keeps whole rows in a column of their own, so names can't
+clash."""
 
 from __future__ import annotations
 

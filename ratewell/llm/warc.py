@@ -9,7 +9,8 @@ Of records with equal payloads the one with the largest page_id is the response
 has at least `least` bytes. Null html: an empty payload. Null url: a record without a target. A null page_id never becomes
 the page that others refer to; it revisits a page with an id, and without one it is a response. Rows that share the largest
 id and the payload are all responses. A payload larger than an archive makes an archive of its own. Control characters in
-urls are percent-encoded in the header. No pages: no archives."""
+urls are percent-encoded in the header. No pages: no archives. Only page_id, url and html are read, so other columns can have
+any name."""
 
 from __future__ import annotations
 

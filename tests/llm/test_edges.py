@@ -117,3 +117,18 @@ def test_pipeline_stages_keep_columns(spark, docs, labels, tmp_path):
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
     # Two documents pass the first stages; a Poisson count may be zero.
     assert all(r.length > 0 for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+
+def test_pipeline_on_empty_tables(spark, docs, labels, tmp_path):
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), str(tmp_path)).columns == docs.columns
+
+
+def test_one_hot_id(spark, labels):
+    """An id with most of the rows, with one text or many, in the learners."""
+    rows = [(8, "idiot moron " * 8)] * 200 + [(8, f"idiot number {k}") for k in range(200)] + [(k, f"a calm text {k}") for k in range(20)]
+    hot = spark.createDataFrame(rows, "doc_id long, text string")
+    assert toxicity.toxicity(hot, labels).count() == lm.lm_scores(hot).count() == len(rows)
