@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -49,3 +51,15 @@ def wrapped(docs: DataFrame, *names: str) -> DataFrame:
 def doc_hash(column: str = "doc_id") -> Column:
     """crc32 of the id as text; the remainder of a null id is null and counts as training data nowhere."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def one_blas_thread() -> None:
+    """Keeps numpy's products in the calling thread. A worker runs one task; threads beside it only wait for each other on
+    small matrices, and for the cores of other tasks."""
+    with contextlib.suppress(OSError):
+        with open("/proc/self/maps") as maps:
+            libraries = {line.split()[-1] for line in maps if "openblas" in line}
+        for library in map(ctypes.CDLL, libraries):
+            for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                if hasattr(library, name):
+                    getattr(library, name)(1)

@@ -1,214 +1,325 @@
 """Language-model scoring: a gated recurrent network with a class-factored softmax, beside an add-one unigram base.
 
-Counts of all training tokens are made for the whole corpus. Documents are dealt into blocks of BLOCK_ROWS rows; a block
-meets only the counts of its own words, so no table of all words is ever sent whole. Words become symbols: each of the HEAD
-most frequent words is one, the others share a symbol per power of two of their count. The network predicts a class of
-symbols, then the word in its class: by a softmax among the HEAD words, by the corpus counts in the classes of rarer words.
-Unseen words share the class of the rarest: half of it is theirs, as V + 1 equally likely forms.
-
-The network is trained by truncated backpropagation in numpy on all training documents, in shards whose weights Spark
-averages after every round. For scoring, documents of a batch advance
-together in windows, and the state is carried from window to window to the document's end.
-
-Null or empty text: the end token alone. A null id is never held out nor learned from. Repeated rows are scored for
-themselves and each counts. Without training rows N and V are 0 and the base score of every token is log10(1)."""
+Tasks cut their documents into blocks of about BLOCK_CHARS characters. A block keeps its texts as numbers of its own words;
+these words, with their training tokens, are summed over all blocks and the sums go back to the blocks that hold the word,
+so no table of all words is ever sent whole and no text is read twice. Words become symbols: each of the most frequent words
+is one, and their number grows with the corpus (wide * wide, where wide is the sixth root of the training tokens); the others
+share a symbol per power of two of their count. The network predicts a class of symbols, then the word in its class: by a
+softmax among the frequent words, by the corpus counts in the classes of rarer words. Unseen words share the class of the
+rarest: half of it is theirs, as V + 1 equally likely forms.
+
+The network is trained by truncated backpropagation in numpy on all training documents, each once: the blocks are dealt into
+ROUNDS lots, the blocks of a lot are learned side by side from the same weights, and Spark averages what they learned before
+the next lot begins. For scoring, documents of a batch advance together in windows, and the state is carried from window to
+window to the document's end.
+
+Null or empty text: the end token alone. Very long texts are cut into words PIECE bytes at a time and make a block of their
+own. A null id is never held out nor learned from. Repeated rows are scored for themselves and each counts, and as blocks are
+cut by size, copies of one row share no task beyond it. Without training rows, also on an empty table, N and V are 0 and the
+base score of every token is log10(1). Only doc_id and text are read, so other columns can have any name."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from .common import doc_hash, stored
 
-BLOCK_ROWS_BITS = 11
-HEAD, WIDE, BINS, HIDDEN = 224, 16, 24, 24
-CLASSES = 1 + HEAD // WIDE + BINS  # the end, the head's classes, the bins
-SYMBOLS = 1 + HEAD + BINS
-SHARD_TOKENS, ROUNDS, STREAMS, STEPS, RATE = 150_000, 2, 48, 24, 0.01
-WINDOW, TOGETHER = 48, 384
-_SHAPES = {"x": (SYMBOLS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (HEAD // WIDE, HIDDEN, WIDE), "bw": (HEAD // WIDE, WIDE)}
-_SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
-# The class of every symbol: 0 the end, then the head's words, then the bins.
-_CLASS = np.array([0, *[1 + k // WIDE for k in range(HEAD)], *range(1 + HEAD // WIDE, CLASSES)])
+from .common import doc_hash, one_blas_thread, stored
 
-
-@F.pandas_udf(StringType())
-def ascii_lower(texts: pd.Series) -> pd.Series:
-    return pd.Series([(t or "").encode("utf-8", "replace").lower().decode() for t in texts], dtype="object")
+BLOCK_CHARS, PIECE = 16_000_000, 1 << 22
+WIDE, BINS, HIDDEN = 16, 24, 24
+ROUNDS, STREAMS, UPDATES, STEPS, RATE = 4, 512, 250, 24, 0.01
+WINDOW, TOGETHER = 48, 1024
+_SPACE = re.compile(rb"[ \t-\r]")
 
 
 # --- counts ------------------------------------------------------------------------------------------------
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, block, fold (remainder of the id's hash). A block is a run of rows of one input split."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS_BITS).alias("block"), F.pmod(doc_hash(), F.lit(7)).alias("fold"))
-
-
-def block_words(rows: DataFrame) -> DataFrame:
-    """block, word and the word's training tokens in the block; the end token is the empty word."""
-    train = (F.col("fold").isNotNull() & (F.col("fold") != 2)).cast("long")
-    words = F.array_append(F.array_remove(F.split(ascii_lower("text"), r"[ \t-\r]+"), ""), "")
-    return rows.select("block", train.alias("train"), F.explode(words).alias("word")).groupBy("block", "word").agg(F.sum("train").alias("n"))
+def tokens(text: str) -> Iterator[list[bytes]]:
+    """The words of a text with A-Z lower-cased, a bounded part at a time."""
+    data, lo = text.encode("utf-8", "replace"), 0
+    while lo < len(data):
+        cut = _SPACE.search(data, lo + PIECE) if lo + PIECE < len(data) else None
+        hi = cut.start() if cut else len(data)
+        yield data[lo:hi].lower().split()
+        lo = hi
+
+
+class Numbers(dict):
+    """Numbers of words in the order in which they are asked for first."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class Block:
+    """Documents as numbers of the block's words, in the order in which they come; word 0 is the end, the empty word."""
+
+    def __init__(self, name: str):
+        self.name, self.at, self.chars = name, Numbers({b"": 0}), 0
+        self.docs: list[tuple] = []
+
+    def add(self, doc_id: str | None, fold: str | None, text: str) -> None:
+        parts = [np.fromiter(map(self.at.__getitem__, words), np.uint32, len(words)) for words in tokens(text)]
+        self.docs.append((doc_id, fold, np.concatenate([*parts, np.zeros(1, np.uint32)])))
+        self.chars += len(text) + 8
+
+    def row(self) -> pd.DataFrame:
+        counts, train = np.zeros(len(self.at), np.int64), []
+        for _, fold, ids in self.docs:
+            if fold is not None and fold != "2":
+                train.append(ids)
+        if train:
+            counts = np.bincount(np.concatenate(train), minlength=len(self.at))
+        docs = [{"doc_id": d, "fold": f, "ids": ids.tobytes()} for d, f, ids in self.docs]
+        return pd.DataFrame({"block": [self.name], "words": [[w.decode() for w in self.at]], "n": [counts], "docs": [docs]})
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """block, words, n (training tokens of each word), docs (doc_id, fold: remainder of the id's hash, ids): written, so that
+    the blocks stay the same whatever order the rows come in when they are asked for again."""
+
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, n = TaskContext.get().partitionId(), 0
+        block = Block(f"{part}-{n}")
+        for batch in batches:
+            for doc_id, fold, text in zip(batch.doc_id, batch.fold, batch.text):
+                block.add(doc_id, fold, text)
+                if block.chars >= BLOCK_CHARS:
+                    yield block.row()
+                    n += 1
+                    block = Block(f"{part}-{n}")
+        if block.docs:
+            yield block.row()
+
+    rows = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"), F.pmod(doc_hash(), F.lit(7)).cast("string").alias("fold"))
+    kind = "block string, words array<string>, n array<long>, docs array<struct<doc_id: string, fold: string, ids: binary>>"
+    return stored(rows.mapInPandas(made, kind), "lm-blocks")
+
+
+class Shape:
+    """The sizes of the network: wide classes of wide frequent words each, and the bins of rarer words that occur."""
+
+    def __init__(self, wide: int, bins: int = BINS):
+        self.wide, self.head, self.bins = wide, wide * wide, bins
+        self.classes, self.symbols = 1 + wide + bins, 1 + self.head + bins  # the end, the frequent words, the bins
+        self.shapes = {
+            "x": (self.symbols, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, self.classes), "bc": (self.classes,),
+            "ww": (wide, HIDDEN, wide), "bw": (wide, wide),
+        }
+        self.size = sum(int(np.prod(s)) for s in self.shapes.values())
+        self.class_of = np.array([0, *[1 + k // wide for k in range(self.head)], *range(1 + wide, self.classes)])
+
+    def unpacked(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        out, at = {}, 0
+        for name, shape in self.shapes.items():
+            size = int(np.prod(shape))
+            out[name] = flat[at:at + size].reshape(shape)
+            at += size
+        return out
+
+
+def wide_for(training_tokens: int) -> int:
+    return max(WIDE, round(training_tokens ** (1 / 6)))
 
 
 class Totals:
-    """What the driver knows of the counts: N, V, the head words, and the tokens per bin."""
+    """What the driver knows of the counts: N, V, the frequent words, and the tokens per bin."""
 
     def __init__(self, counts: DataFrame):
         row = counts.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
         self.n, self.v = row["n"] or 0, row["v"] or 0
-        top = counts.where("word <> '' and c > 0").orderBy(F.desc("c"), "word").limit(HEAD).collect()
-        self.head = {r["word"]: k + 1 for k, r in enumerate(top)}
-        self.least = top[-1]["c"] if len(top) == HEAD else 0
-        bins = counts.where("word <> ''").groupBy(F.least(F.floor(F.log2(F.col("c") + 1)), F.lit(BINS - 1)).cast("int").alias("bin")).agg(F.sum("c").alias("c")).collect()
-        head_bins = np.zeros(BINS)
-        for r in top:
-            head_bins[bin_of(r["c"])] += r["c"]
+        wide = wide_for(self.n)
+        top = counts.where("word <> '' and c > 0").orderBy(F.desc("c"), "word").limit(wide * wide).collect()
+        self.top = {r["word"]: k + 1 for k, r in enumerate(top)}
+        rare = counts.where("word <> ''").groupBy(F.least(F.floor(F.log2(F.col("c") + 1)), F.lit(BINS - 1)).cast("int").alias("bin")).agg(F.sum("c").alias("c")).collect()
         self.bins = np.zeros(BINS)
-        for r in bins:
+        for r in rare:
             self.bins[r["bin"]] = r["c"]
-        self.bins -= head_bins
+        for r in top:
+            self.bins[bin_of(r["c"])] -= r["c"]
+        # Frequent words leave the upper bins empty: those are no classes.
+        used = np.flatnonzero(self.bins > 0)
+        self.shape = Shape(wide, int(used.max(initial=1)) + 1)
         ends = counts.where("word = ''").agg(F.sum("c")).first()[0] or 0
-        heads = np.array([r["c"] for r in top] + [0] * (HEAD - len(top)), float)
-        self.start = np.log(np.concatenate([[ends], heads.reshape(-1, WIDE).sum(axis=1), self.bins]) + 1.0)
-        self.head_counts = heads
+        self.head_counts = np.array([r["c"] for r in top] + [0] * (wide * wide - len(top)), float)
+        self.start = np.log(np.concatenate([[ends], self.head_counts.reshape(-1, wide).sum(axis=1), self.bins[:self.shape.bins]]) + 1.0)
 
 
 def bin_of(c) -> np.ndarray:
     return np.minimum(np.floor(np.log2(np.asarray(c, float) + 1)), BINS - 1).astype(int)
 
 
-def encode(rows: DataFrame, words: DataFrame, totals: Totals) -> DataFrame:
-    """doc_id, fold, n_tokens, n_known, base_score, rare_score (of rarer words in their classes) and symbols, per row."""
-    n, v, head, bins = totals.n, totals.v, totals.head, totals.bins
+def encode(made: DataFrame, counts: DataFrame, totals: Totals) -> DataFrame:
+    """block, doc_id, fold, n_tokens, n_known, base_score, rare_score (of rarer words in their classes) and symbols, per row."""
+    n, v, bins, head = totals.n, totals.v, totals.bins, totals.shape.head
 
-    def encoded(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    def encoded(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        known = known.sort_values("place")
         c = known.c.to_numpy(np.int64)
-        at = {w: k for k, w in enumerate(known.word.str.encode("utf-8"))}
         base = np.log10((c + 1) / (n + v + 1))
         kind = np.maximum(bin_of(c), 1)
-        symbol = 1 + HEAD + kind
+        symbol = 1 + head + kind
         rare = np.where(c > 0, np.log10(np.maximum(c, 1) / np.maximum(bins[kind], 1)), -np.log10(v + 1))
         rare += np.where(kind == 1, np.log10(0.5), 0.0)
-        for w, k in at.items():
-            if not w or w.decode() in head:
-                symbol[k], rare[k] = head.get(w.decode(), 0), 0.0
-        out = []
-        for text in docs.text:
-            ids = np.array([at[w] for w in text.encode("utf-8", "replace").lower().split()] + [at[b""]])
-            out.append((len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(rare[ids].sum()), symbol[ids].astype(np.uint8).tobytes()))
-        made = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "rare_score", "symbols"])
-        return pd.concat([docs[["doc_id", "fold"]].reset_index(drop=True), made], axis=1)
-
-    texts = rows.select(F.col("doc_id").cast("string"), "text", "block", F.col("fold").cast("string"))
-    kind = "doc_id string, fold string, n_tokens long, n_known long, base_score double, rare_score double, symbols binary"
-    return texts.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(encoded, kind)
+        named = known.named.to_numpy(np.int64)
+        symbol, rare = np.where(named > 0, named, symbol), np.where(named > 0, 0.0, rare)
+        symbol[0], rare[0] = 0, 0.0
+        symbol, out = symbol.astype(np.uint16), []
+        for doc in own.docs.iloc[0]:
+            ids = np.frombuffer(doc["ids"], np.uint32)
+            out.append((own.block.iloc[0], doc["doc_id"], doc["fold"], len(ids), int((c[ids] > 0).sum()), float(base[ids].sum()), float(rare[ids].sum()), symbol[ids].tobytes()))
+        return pd.DataFrame(out, columns=["block", "doc_id", "fold", "n_tokens", "n_known", "base_score", "rare_score", "symbols"])
+
+    # The frequent words, wide * wide at most, are marked in the counts; words themselves move once.
+    top = made.sparkSession.createDataFrame(list(totals.top.items()), "word string, named long")
+    marked = counts.join(F.broadcast(top), "word", "left").select("word", "c", F.coalesce("named", F.lit(0)).alias("named"))
+    words = made.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word")).join(marked, "word").select("of", "place", "c", "named")
+    kind = "block string, doc_id string, fold string, n_tokens long, n_known long, base_score double, rare_score double, symbols binary"
+    return made.select("block", "docs").groupBy("block").cogroup(words.groupBy("of")).applyInPandas(encoded, kind)
 
 
 # --- the network -------------------------------------------------------------------------------------------
 
-def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, shape in _SHAPES.items():
-        size = int(np.prod(shape))
-        out[name] = flat[at:at + size].reshape(shape)
-        at += size
-    return out
-
-
 def first_weights(totals: Totals) -> np.ndarray:
-    flat = np.random.RandomState(3).normal(0, 0.1, _SIZE)
-    p = unpacked(flat)
+    flat = np.random.RandomState(3).normal(0, 0.1, totals.shape.size)
+    p = totals.shape.unpacked(flat)
     p["bc"][:] = totals.start - totals.start.max()
-    p["bw"][:] = np.log(totals.head_counts + 1.0).reshape(-1, WIDE)
+    p["bw"][:] = np.log(totals.head_counts + 1.0).reshape(p["bw"].shape)
     return flat.astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x *= np.float32(0.5)
+    x += np.float32(0.5)
+    return x
+
 
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of logits in place, kept within what single precision can sum, and the sums of the rows. A row's largest logit is
+    not looked for, which would take longer than all the rest."""
+    np.clip(x, -80, 60, out=x)
+    np.exp(x, out=x)
+    return x, x @ np.ones(x.shape[1], np.float32)
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x, sums = _exp(x)
+    x *= np.reciprocal(sums)[:, None]
+    return x
 
-def run_states(p: dict, inputs: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """The state after each step of (steps, rows) input symbols; what the way back needs goes to keep."""
-    out = np.empty((len(inputs), *h.shape), np.float32)
-    for t, symbols in enumerate(inputs):
-        g, hu = p["x"][symbols], h @ p["u"]
+
+def _log_picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of one entry of each row."""
+    picked = np.clip(x[np.arange(len(at)), at], -80, 60)
+    return picked - np.log(_exp(x)[1])
+
+
+def run_states(p: dict, inputs: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
+    """The state after each step of (steps, rows) input symbols; the gates, which the way back needs, go to keep."""
+    out, given = np.empty((len(inputs), *h.shape), np.float32), p["x"][inputs]
+    for t, g in enumerate(given):
+        hu = h @ p["u"]
         zr = _sigmoid(g[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        c = np.tanh(g[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])
+        hun = hu[:, 2 * HIDDEN:]
+        c = r * hun
+        c += g[:, 2 * HIDDEN:]
+        np.tanh(c, out=c)
         if keep is not None:
-            keep.append((h, z, r, c, hu[:, 2 * HIDDEN:]))
-        h = out[t] = c + z * (h - c)
+            for k, gate in enumerate((z, r, c, hun)):
+                keep[k, t] = gate
+        new = out[t]
+        np.subtract(h, c, out=new)
+        new *= z
+        new += c
+        h = new
     return out
 
 
-def log_prob(p: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural log probability of target symbols (class, then word in the head's classes) for rows of states."""
-    kinds = _CLASS[targets]
-    out = np.take_along_axis(_log_softmax(states @ p["wc"] + p["bc"]), kinds[:, None], 1)[:, 0].astype(np.float64)
-    for k in range(HEAD // WIDE):
-        at = np.flatnonzero(kinds == 1 + k)
-        if len(at):
-            words = _log_softmax(states[at] @ p["ww"][k] + p["bw"][k])
-            out[at] += words[np.arange(len(at)), (targets[at] - 1) % WIDE]
+def by_class(kinds: np.ndarray, wide: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each class of frequent words that occurs."""
+    order = np.argsort(kinds, kind="stable")
+    ends = np.searchsorted(kinds[order], np.arange(1, wide + 2))
+    for k in range(wide):
+        if ends[k] < ends[k + 1]:
+            yield k, order[ends[k]:ends[k + 1]]
+
+
+def log_prob(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Natural log probability of target symbols (class, then word in the frequent classes) for rows of states."""
+    kinds = shape.class_of[targets]
+    logits = states @ p["wc"]
+    logits += p["bc"]
+    out = _log_picked(logits, kinds)
+    for k, at in by_class(kinds, shape.wide):
+        logits = states[at] @ p["ww"][k]
+        logits += p["bw"][k]
+        out[at] += _log_picked(logits, (targets[at].astype(int) - 1) % shape.wide)
     return out
 
 
-def train_shard(documents: list[np.ndarray], flat: np.ndarray) -> np.ndarray:
-    """Truncated backpropagation through windows of STEPS over STREAMS parallel streams; Adam; the state is carried on."""
+def train_shard(shape: Shape, documents: list[np.ndarray], flat: np.ndarray) -> np.ndarray:
+    """Truncated backpropagation through windows of STEPS over parallel streams, as many as leave UPDATES windows; Adam; the
+    state is carried on."""
     flat = flat.copy()
-    p, joined = unpacked(flat), np.concatenate(documents)
+    p, joined = shape.unpacked(flat), np.concatenate(documents)
     grad, m1, m2 = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
-    d = unpacked(grad)
-    streams = max(1, min(STREAMS, len(joined) // (2 * STEPS)))
+    d = shape.unpacked(grad)
+    streams = max(1, min(STREAMS, max(16, len(joined) // (STEPS * UPDATES)), len(joined) // (2 * STEPS)))
     width = len(joined) // streams
     s = joined[:streams * width].reshape(streams, width).T
     before = np.concatenate([np.zeros((1, streams), s.dtype), s[:-1]])  # every document follows an end
     h, turn = np.zeros((streams, HIDDEN), np.float32), 0
     for lo in range(0, width, STEPS):
-        x, y, keep = before[lo:lo + STEPS], s[lo:lo + STEPS].ravel(), []
+        x, y = before[lo:lo + STEPS], s[lo:lo + STEPS].ravel().astype(np.int64)
+        keep = np.empty((4, *x.shape, HIDDEN), np.float32)
         states = run_states(p, x, h, keep)
-        h = states[-1]
+        first, h = h, states[-1]
         grad[:] = 0
-        rows, kinds = states.reshape(-1, HIDDEN), _CLASS[y]
-        e = np.exp(_log_softmax(rows @ p["wc"] + p["bc"]))
+        rows, kinds = states.reshape(-1, HIDDEN), shape.class_of[y]
+        e = _softmax(rows @ p["wc"] + p["bc"])
         e[np.arange(len(y)), kinds] -= 1
         d["wc"] += rows.T @ e
         d["bc"] += e.sum(axis=0)
         back = e @ p["wc"].T
-        for k in range(HEAD // WIDE):
-            at = np.flatnonzero(kinds == 1 + k)
-            if len(at):
-                e = np.exp(_log_softmax(rows[at] @ p["ww"][k] + p["bw"][k]))
-                e[np.arange(len(at)), (y[at] - 1) % WIDE] -= 1
-                d["ww"][k] += rows[at].T @ e
-                d["bw"][k] += e.sum(axis=0)
-                back[at] += e @ p["ww"][k].T
-        back, dh, dg = back.reshape(states.shape), np.zeros_like(h), np.empty((*x.shape, 3 * HIDDEN), np.float32)
+        for k, at in by_class(kinds, shape.wide):
+            own = rows[at]
+            e = _softmax(own @ p["ww"][k] + p["bw"][k])
+            e[np.arange(len(at)), (y[at] - 1) % shape.wide] -= 1
+            d["ww"][k] += own.T @ e
+            d["bw"][k] += e.sum(axis=0)
+            back[at] += e @ p["ww"][k].T
+        back, dh, (z, r, c, hun) = back.reshape(states.shape), np.zeros_like(h), keep
+        h0 = np.concatenate([first[None], states[:-1]])
+        # What a step multiplies, for all steps at once: by the new state, its gate and the reset.
+        to_new, to_gate, to_reset = (1 - z) * (1 - c * c), (h0 - c) * z * (1 - z), hun * r * (1 - r)
+        dg, dhu, turned = np.empty((*x.shape, 3 * HIDDEN), np.float32), np.empty((*x.shape, 3 * HIDDEN), np.float32), p["u"].T.copy()
         for t in range(len(x) - 1, -1, -1):
-            h0, z, r, c, hun = keep[t]
-            dh = dh + back[t]
-            dn = dh * (1 - z) * (1 - c * c)
-            dz, dr = dh * (h0 - c) * z * (1 - z), dn * hun * r * (1 - r)
-            dg[t] = np.concatenate([dz, dr, dn], axis=1)
-            dhu = np.concatenate([dz, dr, dn * r], axis=1)
-            d["u"] += h0.T @ dhu
-            dh = dh * z + dhu @ p["u"].T
-        one_hot = np.zeros((x.size, SYMBOLS), np.float32)
-        one_hot[np.arange(x.size), x.ravel()] = 1
-        d["x"] += one_hot.T @ dg.reshape(-1, 3 * HIDDEN)
+            dh += back[t]
+            d_gate, d_reset, d_new = (dg[t, :, k * HIDDEN:(k + 1) * HIDDEN] for k in range(3))
+            np.multiply(dh, to_gate[t], out=d_gate)
+            np.multiply(dh, to_new[t], out=d_new)
+            np.multiply(d_new, to_reset[t], out=d_reset)
+            dhu[t, :, :2 * HIDDEN] = dg[t, :, :2 * HIDDEN]
+            np.multiply(d_new, r[t], out=dhu[t, :, 2 * HIDDEN:])
+            dh *= z[t]
+            dh += dhu[t] @ turned
+        d["u"] += h0.reshape(-1, HIDDEN).T @ dhu.reshape(-1, 3 * HIDDEN)
+        # Sums per input symbol: rows in the order of their symbols, one sum per run.
+        order = np.argsort(x.ravel(), kind="stable")
+        symbols, starts = np.unique(x.ravel()[order], return_index=True)
+        d["x"][symbols] += np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
         grad /= len(y)
-        grad *= min(1.0, 1.0 / (np.sqrt((grad * grad).sum()) + 1e-9))
+        grad *= min(1.0, 1.0 / (float(np.sqrt(grad @ grad)) + 1e-9))
         turn += 1
         m1 += 0.1 * (grad - m1)
         m2 += 0.01 * (grad * grad - m2)
@@ -217,42 +328,44 @@ def train_shard(documents: list[np.ndarray], flat: np.ndarray) -> np.ndarray:
 
 
 def fit(encoded: DataFrame, totals: Totals) -> np.ndarray:
-    """The averaged weights after ROUNDS rounds over all training documents. The stored frame is read once a round."""
-    spark = encoded.sparkSession
-    rows = encoded.where("fold is not null and fold <> '2'").select("doc_id", "symbols")
-    tokens = rows.agg(F.sum(F.length("symbols"))).first()[0] or 0
+    """The weights after all lots of training documents were learned once."""
+    spark, shape = encoded.sparkSession, totals.shape
+    rows = encoded.where("fold is not null and fold <> '2'").select("block", "doc_id", "symbols")
     flat = first_weights(totals)
-    if not tokens:
-        return flat
-    shards = max(4, -(-tokens // SHARD_TOKENS))
-    for _ in range(ROUNDS):
+    for lot in range(ROUNDS):
         shared = spark.sparkContext.broadcast(flat)
 
         def learn(group: pd.DataFrame) -> pd.DataFrame:
+            one_blas_thread()
             group = group.sort_values(["doc_id", "symbols"])
-            docs = [np.frombuffer(b, np.uint8) for b in group.symbols]
-            made = train_shard(docs, shared.value)
-            return pd.DataFrame({"weights": [made.tolist()], "tokens": [sum(map(len, docs))]})
-
-        made = rows.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")).applyInPandas(learn, "weights array<float>, tokens long")
-        each = made.select("tokens", F.posexplode("weights")).groupBy("pos").agg((F.sum(F.col("col").cast("double") * F.col("tokens")) / F.sum("tokens")).alias("w"))
-        flat = np.array([r["w"] for r in each.orderBy("pos").collect()], np.float32)  # as many rows as the network has weights
+            docs = [np.frombuffer(b, np.uint16) for b in group.symbols]
+            made = train_shard(shape, docs, shared.value)
+            return pd.DataFrame({"weights": [made], "tokens": [sum(map(len, docs))]})
+
+        mine = rows.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == lot)
+        made = mine.groupBy("block").applyInPandas(learn, "weights array<float>, tokens long")
+        # Decimals, so that the sum does not depend on the order of the blocks.
+        weighed = F.sum((F.col("col").cast("double") * F.col("tokens")).cast("decimal(28,9)"))
+        each = made.select("tokens", F.posexplode("weights")).groupBy("pos").agg((weighed.cast("double") / F.sum("tokens")).alias("w"))
+        learned = each.orderBy("pos").collect()  # as many rows as the network has weights
+        if learned:
+            flat = np.array([r["w"] for r in learned], np.float32)
         shared.unpersist()
     return flat
 
 
-def score_documents(p: dict, documents: list[np.ndarray]) -> np.ndarray:
+def score_documents(shape: Shape, p: dict, documents: list[np.ndarray]) -> np.ndarray:
     """log10 probability of whole documents of symbols, TOGETHER at a time, the state carried over windows."""
     out = np.zeros(len(documents))
     order = np.argsort([-len(d) for d in documents], kind="stable")
     for lo in range(0, len(order), TOGETHER):
         rows = order[lo:lo + TOGETHER]
         sizes = np.array([len(documents[k]) for k in rows])
-        h, last = np.zeros((len(rows), HIDDEN), np.float32), np.zeros(len(rows), np.uint8)
+        h, last = np.zeros((len(rows), HIDDEN), np.float32), np.zeros(len(rows), np.uint16)
         for at in range(0, sizes[0], WINDOW):
             live = int((sizes > at).sum())  # longest first: those still running are in front
             steps = min(WINDOW, sizes[0] - at)
-            y = np.zeros((live, steps), np.uint8)
+            y = np.zeros((live, steps), np.uint16)
             for k in range(live):
                 part = documents[rows[k]][at:at + steps]
                 y[k, :len(part)] = part
@@ -260,25 +373,25 @@ def score_documents(p: dict, documents: list[np.ndarray]) -> np.ndarray:
             states = run_states(p, x.T, h[:live])
             h, last = states[-1], y[:, -1]
             real = (np.arange(steps)[:, None] < (sizes[:live] - at)[None, :])
-            got = log_prob(p, states[real], y.T[real])
+            got = log_prob(shape, p, states[real], y.T[real])
             out[rows[:live]] += np.bincount(np.nonzero(real)[1], got, live)
     return out / np.log(10)
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark, rows = docs.sparkSession, keyed(docs)
-    words = stored(block_words(rows), "lm-words")
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
+    spark, made = docs.sparkSession, blocks(docs)
+    counts = stored(made.select(F.explode(F.arrays_zip("words", "n")).alias("w")).groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n").alias("c")), "lm-counts")
     totals = Totals(counts)
-    encoded = stored(encode(rows, words.select("block", "word").join(counts, "word"), totals), "lm-symbols")
-    shared = spark.sparkContext.broadcast(fit(encoded, totals))
+    encoded = stored(encode(made, counts, totals), "lm-symbols")
+    shared, shape = spark.sparkContext.broadcast(fit(encoded, totals)), totals.shape
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        p = unpacked(shared.value)
+        one_blas_thread()
+        p = shape.unpacked(shared.value)
         for b in batches:
-            yield pd.Series(score_documents(p, [np.frombuffer(x, np.uint8) for x in b]), dtype="float64")
+            yield pd.Series(score_documents(shape, p, [np.frombuffer(x, np.uint16) for x in b]), dtype="float64")
 
     id_type = docs.schema["doc_id"].dataType
     return encoded.select(

@@ -6,8 +6,9 @@ import collections
 from types import SimpleNamespace
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from ratewell.llm import hnsw, jaccard, lm, urls
+from ratewell.llm import hnsw, jaccard, licenses, lm, mixing, urls
 
 
 def test_nearest_tasks_see_one_block(spark):
@@ -38,10 +39,11 @@ def test_an_empty_block_adds_no_link(spark):
 
 def test_every_training_document_is_learned(spark):
     """Whatever its id: a table of one training document changes the weights; one that is held out or has no id does not."""
-    totals = SimpleNamespace(start=np.zeros(lm.CLASSES), head_counts=np.zeros(lm.HEAD))
-    first, text = lm.first_weights(totals), bytes([1, 2, 3, 4, 0] * 40)
+    shape = lm.Shape(4)
+    totals = SimpleNamespace(shape=shape, start=np.zeros(shape.classes), head_counts=np.zeros(shape.head))
+    first, text = lm.first_weights(totals), np.array([1, 2, 3, 4, 0] * 40, np.uint16).tobytes()
     for doc, fold in (("1", "0"), ("2", "1"), ("3", "3"), ("4", "2"), (None, None)):
-        made = lm.fit(spark.createDataFrame([(doc, fold, text)], "doc_id string, fold string, symbols binary"), totals)
+        made = lm.fit(spark.createDataFrame([(doc, doc, fold, text)], "block string, doc_id string, fold string, symbols binary"), totals)
         assert (np.abs(made - first).max() > 0) == (fold in ("0", "1", "3"))
 
 
@@ -62,3 +64,33 @@ def test_copies_of_a_url_do_not_fill_the_sample(spark):
     got = urls.sampled(rows, 100).collect()
     assert 50 < len(got) < 150 and {r.n for r in got} == {1, 2000}
     assert len(urls.fit(rows, 100)) == (1 << urls.BITS) + 1
+
+
+def test_notices_repeated_many_times(spark):
+    """Time grows with the length of a text: thousands of notices in one text, and words that vote without a notice."""
+    one, n = "Licensed under CC BY-NC 4.0\n", 20_000
+    rows = [(1, one * n), (2, "licensed " * 30_000 + "under cc by nc 4 0"), (3, "cc nc by 4 " * 20_000)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_words, got[1].n_base, got[1].first_word, got[1].last_word) == (7 * n, n, 2, 7 * n - 5)
+    assert [got[k].labels for k in (1, 2, 3)] == ["cc-by,cc-by-nc-4.0"] * 2 + [""]
+    assert got[1].score == got[2].score == 1.0 and got[3].n_base == 0
+
+
+def test_mixing_moves_documents_once(spark, tmp_path):
+    """One exchange of documents, into known ranges of the hash, in which the order is global; many sources are not broadcast."""
+    spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('s', id % 7) AS source").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    copies = mixing.shuffled(mixing.replicate(docs))
+    shown = copies._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange") == 2 and "BroadcastExchange" in shown and "rangepartitioning" not in shown
+    keys = [(r.shuffle_key, r.copy) for r in copies.collect()]
+    assert keys == sorted(keys) and len(keys) > 2000
+    parts = copies.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 2 * min(r["count"] for r in parts)
+
+
+def test_mixing_many_sources(spark, monkeypatch):
+    docs = spark.range(500).selectExpr("id AS doc_id", "concat('text ', id) AS text", "IF(id % 9 = 0, NULL, concat('s', id % 7)) AS source")
+    want = sorted((r.row.doc_id, r.copy, r.shuffle_key) for r in mixing.replicate(docs).collect())
+    monkeypatch.setattr(mixing, "SOURCES", 3)
+    assert sorted((r.row.doc_id, r.copy, r.shuffle_key) for r in mixing.replicate(docs).collect()) == want
