@@ -1,16 +1,19 @@
 """Packing of token sequences: the cutting-stock problem by column generation.
 
-Documents are tokenised and cut into full sequences and a rest. The rests are counted by length class. On that histogram
+Documents are tokenised and cut into full sequences and a rest. The rests are counted by length class: every length up to
+EXACT is one, longer ones are rounded up to multiples of STEP. On that histogram
 a linear program over patterns (how many rests of which class share a sequence) is solved by column generation: the dual
 prices of its current patterns go into a knapsack dynamic program, whose best filling is the next pattern. Patterns are
-used as often as the rounded-down solution says; what is left of the histogram is packed best fit decreasing. A rest finds
+used as often as the rounded-down solution says; what is left of the histogram is packed best fit decreasing. Long rests go
+through the program first, short ones fill the room beside them and go through it among themselves. A rest finds
 its sequence from its rank in its class.
 
-The histogram and the patterns have one row per class, CLASSES at most, whatever the number of documents: the program runs
+The histogram and the patterns have one row per class, some 250, whatever the number of documents: the program runs
 on the driver, everything else in Spark. Ranks are counted per class and salt, so no class is sorted in one task.
 
 Null or empty text: no tokens of its own, one piece that holds the end id. Null ids and repeated rows are packed for
-themselves. Very long texts are cut into as many full sequences as they need. No documents: no pieces."""
+themselves. Very long texts are cut into as many full sequences as they need. No documents: no pieces. Only doc_id and text
+are read, and placed pieces keep their own columns in one of their own, so names can't clash."""
 
 from __future__ import annotations
 
@@ -25,13 +28,15 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LENGTH, END, STEP = 2048, 1, 16
-CLASSES = LENGTH // STEP
+LENGTH, END, EXACT, STEP, GAP = 2048, 1, 128, 16, 5e-4
 TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker remembers with their ids, characters taken at once, words in one call of the tokenizer.
 REMEMBERED, SLAB, TOGETHER = 800_000, 1 << 20, 2_000
 
 
+_MARKS = frozenset(".,!?;:")
+
+
 # --- tokens ------------------------------------------------------------------------------------------------
 
 class Encoder:
@@ -47,20 +52,20 @@ class Encoder:
         parts = {}
         for w in words:
             low = w.lower() if w.isascii() else w  # beyond ASCII the tokenizer's own order of normalising counts
-            marked = len(low) > 1 and low[-1] in ".,!?;:" and low[-2].isascii() and low[-2].isalnum()
+            marked = low[-1:] in _MARKS and len(low) > 1 and low[-2].isascii() and low[-2].isalnum()
             parts[w] = (low[:-1], low[-1]) if marked else (low, "")
-        new = [c for c in {c for pair in parts.values() for c in pair} if c not in self.cores]
+        new = list({c for pair in parts.values() for c in pair}.difference(self.cores))
         # Many words in one call, joined by spaces: a call costs far more than a word. Tokens go back by their offsets.
         for lo in range(0, len(new), TOGETHER):
             some = new[lo:lo + TOGETHER]
             e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             begins = np.cumsum([0, *[len(c) + 1 for c in some]])
-            ends = np.searchsorted([b for b, _ in e.offsets], begins)
-            ids = np.array(e.ids, np.uint32)
+            ends = (4 * np.searchsorted([b for b, _ in e.offsets], begins)).tolist()
+            ids = np.array(e.ids, np.uint32).tobytes()
             for c, a, b in zip(some, ends, ends[1:]):
-                self.cores[c] = ids[a:b].tobytes()
-        for w, (core, mark) in parts.items():
-            self.known[w] = self.cores[core] + self.cores[mark]
+                self.cores[c] = ids[a:b]
+        cores = self.cores
+        self.known.update({w: cores[core] + cores[mark] if mark else cores[core] for w, (core, mark) in parts.items()})
 
     def encoded(self, words: list[str]) -> bytes:
         new = set(words).difference(self.known)
@@ -118,30 +123,36 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZ
 
 # --- the linear program ------------------------------------------------------------------------------------
 
+def class_sizes(length: int = LENGTH) -> np.ndarray:
+    """The sizes that lengths are rounded up to: every length up to EXACT, then multiples of STEP. Multiples leave room that
+    other multiples fill."""
+    return np.array(sorted({min(s, length) for s in (*range(1, EXACT + 1), *range(EXACT + STEP, length + STEP, STEP))}))
+
+
 def knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> np.ndarray:
-    """How many of each size fill `room` at the highest price: dynamic program over the room."""
-    best, took = np.zeros(room + 1), np.full(room + 1, -1)
-    for c in range(1, room + 1):
-        best[c] = best[c - 1]
-        fits = sizes <= c
-        if fits.any():
-            worth = prices[fits] + best[c - sizes[fits]]
-            k = int(worth.argmax())
-            if worth[k] > best[c] + 1e-12:
-                best[c], took[c] = worth[k], np.flatnonzero(fits)[k]
-    out, c = np.zeros(len(sizes), np.int64), room
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
-        else:
-            out[took[c]] += 1
-            c -= sizes[took[c]]
+    """How many of each size fill `room` at the highest price: dynamic program over the room, a size after the other, each in
+    1, 2, 4, ... pieces at a time."""
+    best, took, many = np.zeros(room + 1), np.full(room + 1, -1), np.zeros(room + 1, np.int64)
+    for k in np.argsort(-prices / sizes, kind="stable"):
+        if prices[k] <= 0:
+            break
+        n = 1
+        while (w := n * sizes[k]) <= room:
+            worth = best[:-w] + n * prices[k]
+            at = np.flatnonzero(worth > best[w:] + 1e-12)
+            if len(at):
+                best[at + w], took[at + w], many[at + w] = worth[at], k, n
+            n *= 2
+    out, c = np.zeros(len(sizes), np.int64), int(np.flatnonzero(best >= best[-1] - 1e-12)[0])
+    while c > 0 and took[c] >= 0:
+        out[took[c]] += many[c]
+        c -= int(many[c] * sizes[took[c]])
     return out
 
 
 def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 2000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and how often the relaxed program uses each. Revised simplex: the basis starts with one pattern
-    per size, each round brings in the pattern with the best price."""
+    per size, each round brings in the pattern with the best price, until no pattern could save more than GAP of all."""
     m = len(sizes)
     basis = np.diag((room // sizes).astype(float))
     inverse = np.diag(1 / np.diag(basis))
@@ -149,7 +160,7 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, rounds:
     for _ in range(rounds):
         prices = inverse.sum(axis=0)
         pattern = knapsack(np.maximum(prices, 0), sizes, room).astype(float)
-        if prices @ pattern <= 1 + 1e-7:
+        if prices @ pattern <= 1 + GAP:
             break
         direction = inverse @ pattern
         rising = direction > 1e-9
@@ -178,50 +189,67 @@ def best_fit(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[np.
     return out
 
 
-def plan(counts: dict[int, int], length: int = LENGTH, step: int = STEP) -> list[tuple[np.ndarray, int]]:
-    """(pattern over the classes 1..length/step, times) for a histogram of classes: class k holds lengths up to k * step."""
-    n = length // step
-    demand = np.array([counts.get(k, 0) for k in range(1, n + 1)], np.int64)
-    own = np.flatnonzero(demand)
-    if not len(own):
-        return []
-    sizes, out, left = own + 1, [], demand[own].copy()
-    patterns, used = column_generation(sizes, demand[own].astype(float), n)
+def solve(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
+    """(pattern, times) that hold all pieces: the program's patterns as often as its rounded-down solution says, the rest best
+    fit decreasing."""
+    left, out, unit = counts.copy(), [], int(np.gcd.reduce([*sizes, room]))
+    patterns, used = column_generation(sizes // unit, counts.astype(float), room // unit)
     for k in np.argsort(-used, kind="stable"):
         held = patterns[k] > 0
         times = int(min(np.floor(used[k] + 1e-6), (left[held] // patterns[k][held]).min()))
         if times > 0:
             out.append((patterns[k], times))
             left -= patterns[k] * times
-    whole = []
-    for pattern, times in out + best_fit(sizes, left, n):
-        full = np.zeros(n, np.int64)
-        full[own] = pattern
-        whole.append((full, times))
-    return whole
+    return out + best_fit(sizes, left, room)
+
+
+def plan(counts: dict[int, int], length: int = LENGTH) -> list[tuple[dict[int, int], int]]:
+    """(pattern: pieces by size, times) for the number of pieces of each class size. Long pieces are packed first, short ones
+    fill the room that their patterns leave, largest first, and those that are left are packed among themselves."""
+    sizes = np.array(sorted(size for size, n in counts.items() if n), np.int64)
+    left, out = np.array([counts[s] for s in sizes], np.int64), []
+    long = sizes > EXACT
+    for pattern, times in solve(sizes[long], left[long], length) if long.any() else []:
+        held, free = dict(zip(sizes[long][pattern > 0].tolist(), pattern[pattern > 0].tolist())), length - int(pattern @ sizes[long])
+        while times:
+            filled, room = {}, free
+            for k in np.flatnonzero(~long & (left > 0))[::-1]:
+                if n := int(min(left[k], room // sizes[k])):
+                    filled[k], room = n, room - n * int(sizes[k])
+            now = min([times, *[int(left[k]) // n for k, n in filled.items()]])
+            out.append(({**held, **{int(sizes[k]): n for k, n in filled.items()}}, now))
+            times -= now
+            for k, n in filled.items():
+                left[k] -= n * now
+    short = ~long & (left > 0)
+    if short.any():
+        out += [({int(s): int(n) for s, n in zip(sizes[short], pattern) if n}, times) for pattern, times in solve(sizes[short], left[short], length)]
+    return out
 
 
 # --- placement ---------------------------------------------------------------------------------------------
 
-def pack(pieces: DataFrame, length: int = LENGTH, step: int = STEP, salts: int = 64) -> DataFrame:
+def pack(pieces: DataFrame, length: int = LENGTH, salts: int = 64) -> DataFrame:
     """pieces (with a column length of 1 to `length`) and the columns sequence_id and offset. The frame is read several
     times: store it first. The order of equal rows of one class and salt is the order of their hash and then arbitrary,
     so nothing but which of two equal rows comes first is left open; the result is stored before it is used further."""
     spark, names = pieces.sparkSession, pieces.columns
-    rows = pieces.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.ceil(F.col("length") / step).cast("int").alias("class"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("h"))
+    sizes = class_sizes(length)
+    rounded = spark.createDataFrame([(n, int(sizes[np.searchsorted(sizes, n)])) for n in range(1, length + 1)], "of int, class int")
+    rows = pieces.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("length").cast("int").alias("of"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("h"))
+    rows = rows.join(F.broadcast(rounded), "of").drop("of")  # one row for each length
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("h", F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
     # Rows are numbered once and written, so that a lost task can't number them anew against sequences given before.
     numbered = stored(rows.withColumn("n", F.row_number().over(_window("class", "salt", order="h")).cast("long")), "pack-rows")
-    sizes = {(r["class"], r["salt"]): r["n"] for r in numbered.groupBy("class", "salt").agg(F.count("*").alias("n")).collect()}  # classes x salts at most
-    counts = {k: sum(n for (c, _), n in sizes.items() if c == k) for k in {c for c, _ in sizes}}
-    before = [(c, s, sum(sizes.get((c, t), 0) for t in range(s))) for c, s in sizes]
+    found = {(r["class"], r["salt"]): r["n"] for r in numbered.groupBy("class", "salt").agg(F.count("*").alias("n")).collect()}  # classes x salts at most
+    counts = {k: sum(n for (c, _), n in found.items() if c == k) for k in {c for c, _ in found}}
+    before = [(c, s, sum(found.get((c, t), 0) for t in range(s))) for c, s in found]
 
     slots, first = [], 0
-    seen: dict[int, int] = dict.fromkeys(range(1, length // step + 1), 0)
-    for pattern, times in plan(counts, length, step):
+    seen = dict.fromkeys(counts, 0)
+    for pattern, times in plan(counts, length):
         ahead = 0
-        for k in np.flatnonzero(pattern):
-            k, many = int(k) + 1, int(pattern[k])
+        for k, many in pattern.items():
             slots.append((k, seen[k], seen[k] + many * times, many, first, ahead))
             seen[k] += many * times
             ahead += many
