@@ -22,7 +22,7 @@ from ratewell.params import Params
 from ratewell.plans.marts import display_order_of, mart_daily, model_tests, quality_daily, stg_rates, stg_rates_wide
 from ratewell.sources.sinks import materialize, replace_table
 from ratewell.sources.tables import Tables
-from ratewell.sources.versions import current, replace
+from ratewell.sources.versions import current, names_in, replace
 
 CORE, META, STATE = "core_daily", "core_meta", "marts_state"
 STORED = ("stg_rates", "mart_daily", "mart_pct_change", "mart_quality_daily", "mart_rolling_stats")
@@ -43,7 +43,13 @@ def build_marts(tables: Tables, params: Params, as_of: date | str | None = None)
     tests = model_tests(params)
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        replace(tables.spark, tables.path(name), lambda folder: write_model(df, name, folder))
+        def write(folder: str) -> None:
+            write_model(df, name, folder)
+            if not any(part.startswith("rate_month=") for part in names_in(tables.spark, folder)):
+                # A model without rows has no months; one empty file keeps its columns.
+                df.withColumn("rate_month", month_start(F.col("rate_date"))).limit(0).write.mode("append").parquet(folder)
+
+        replace(tables.spark, tables.path(name), write)
         return tables.source(name)
 
     stg = stored(stg_rates(tables.source(CORE), params), "stg_rates")
@@ -104,11 +110,12 @@ def _rest_of_month(stored: DataFrame, last: date) -> DataFrame:
 
 
 def refresh_marts(tables: Tables, params: Params, as_of: date | str | None = None) -> dict[str, DataFrame]:
-    """Bring the stored models up to the loaded days: those that meta lists since the last time, or all if there was none.
+    """Bring the stored models up to the loaded days: those that meta lists since the last time, or all if
+    there was none or a model has no rows yet.
     The declared tests see the months that were written."""
     loaded = _one(tables.source(META), F.max("inserted_at"))
     state = tables.find(STATE)
-    if state is None or any(tables.find(name) is None for name in STORED):
+    if state is None or any((found := tables.find(name)) is None or found.isEmpty() for name in STORED):
         models = build_marts(tables, params, as_of)
     else:
         since = state.first()["loaded"]
