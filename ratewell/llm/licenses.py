@@ -6,8 +6,9 @@ highest-IDF words of a template, each occurrence votes for the place where the t
 with two votes or more counts only if the template's mandatory phrases stand where it says.
 
 Null or empty text: no words, no labels, score 0. A row without an id is scanned like any other. Repeated rows give
-repeated results. Only `doc_id` and `text` are read, so extra columns can't clash. Every occurrence of an indexed word
-votes: nothing is cut off in long texts, and no row meets another one, so no key can be hot."""
+repeated results. No documents: no rows. Only `doc_id` and `text` are read, so extra columns can't clash. Every occurrence of
+an indexed word votes: nothing is cut off in long texts, whose time grows with their length, and no row meets another one, so
+no key can be hot."""
 
 from __future__ import annotations
 
@@ -78,29 +79,35 @@ def word_frequencies(places: DataFrame, templates=TEMPLATES) -> dict[str, int]:
     return {w: 0 for w in _vocabulary(templates)} | {r["w"]: r["n"] for r in found.collect()}
 
 
-def _stands(ws: Column, at_words: Column, at: Column, phrase: list[str]) -> Column:
-    """Do the words of the phrase stand consecutively from place `at`?"""
-    n = len(phrase)
-    return let(F.array_position(at_words, at).cast("int"), lambda j: (j > 0) & (F.slice(ws, F.greatest(j, F.lit(1)), n) == _strings(phrase)) & (F.get(at_words, j + (n - 2)) == at + (n - 1)))
-
-
 def _template_score(ws: Column, at_words: Column, notice: str, keys, rarest: list[str]) -> Column:
-    """The best share of the notice's words that stand in place, over verified alignments; null if there is none."""
+    """The best share of the notice's words that stand in place, over verified alignments; null if there is none. An alignment
+    looks at the words around its vote only, as many as the notice has on either side."""
     own = notice.split()
     index = {w: [o for o, x in enumerate(own) if x == w] for w in rarest}
     postings = F.create_map(*[c for w in rarest for c in (F.lit(w), F.array(*[F.lit(o) for o in index[w]]))])
-    key_at = [(notice.split(key)[0].count(" "), key.split()) for key in keys]
+    key_at = [(notice.split(key)[0].count(" "), len(key.split())) for key in keys]
+
+    def in_place(vote: Column) -> Column:
+        """Places in the notice whose words stand where the alignment says."""
+        around = F.transform(F.sequence(F.lit(-len(own)), F.lit(len(own))), lambda k: F.struct(F.get(ws, vote["j"] + k).alias("w"), (F.get(at_words, vote["j"] + k) - vote["d"]).alias("o")))
+        return F.transform(F.filter(around, lambda x: (x["o"] >= 0) & (x["o"] < len(own)) & (F.get(_strings(own), x["o"]) == x["w"])), lambda x: x["o"])
+
+    def share(placed: Column) -> Column:
+        def stands(lo: int, n: int) -> Column:
+            return F.size(F.filter(placed, lambda o: (o >= lo) & (o < lo + n))) == n
+
+        return F.when(_all(*[stands(lo, n) for lo, n in key_at]), F.size(placed) / F.lit(float(len(own))))
 
     def of(mine: Column) -> Column:
         present = F.array_distinct(F.transform(mine, lambda x: x["w"]))
         anchors = F.slice(let(present, lambda p: F.filter(_strings(rarest), lambda w: F.array_contains(p, w))), 1, LOOKED_UP)
-        begins = let(anchors, lambda a: F.flatten(F.transform(F.filter(mine, lambda x: F.array_contains(a, x["w"])), lambda x: F.transform(F.element_at(postings, x["w"]), lambda o: x["i"] - o))))
-        twice = let(F.sort_array(begins), lambda s: F.array_distinct(F.filter(s, lambda d, j: d == F.get(s, j + 1))))
-        good = F.filter(twice, lambda d: _all(*[_stands(ws, at_words, d + o, key) for o, key in key_at]))
-        in_place = lambda d: F.filter(_strings(own), lambda w, o: F.get(ws, F.array_position(at_words, d + o).cast("int") - 1) == w)
-        return F.array_max(F.transform(good, lambda d: F.size(in_place(d)) / F.lit(float(len(own)))))
+        votes = let(anchors, lambda a: F.flatten(F.transform(F.filter(mine, lambda x: F.array_contains(a, x["w"])), lambda x: F.transform(F.element_at(postings, x["w"]), lambda o: F.struct((x["i"] - o).alias("d"), x["j"].alias("j"))))))
+        # Of the votes for one place the first of two or more stands for all.
+        twice = let(F.sort_array(votes), lambda s: F.filter(s, lambda x, k: (x["d"] == F.get(s, k + 1)["d"]) & ((k == 0) | (x["d"] != F.get(s, k - 1)["d"]))))
+        return F.array_max(F.transform(twice, lambda x: let(in_place(x), share)))
 
-    return let(F.filter(F.zip_with(ws, at_words, lambda w, i: F.when(w.isin(rarest), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull()), lambda mine: F.when(F.size(mine) >= 2, of(mine)))
+    found = F.transform(ws, lambda w, j: F.when(w.isin(rarest), F.struct(w.alias("w"), F.get(at_words, j).alias("i"), j.alias("j"))))
+    return let(F.filter(found, lambda x: x.isNotNull()), lambda mine: F.when(F.size(mine) >= 2, of(mine)))
 
 
 def _all(first: Column, *rest: Column) -> Column:
@@ -117,9 +124,12 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     rare = [sorted(set(notice.split()), key=rank)[:INDEXED] for _, notice, _ in templates]
 
     def places(ws: Column, at_words: Column, phrase: list[str]) -> Column:
-        anchor = min(phrase, key=rank)
-        begins = F.filter(F.zip_with(ws, at_words, lambda w, i: F.when(w == anchor, i - phrase.index(anchor))), lambda x: x.isNotNull())
-        return F.filter(begins, lambda d: _stands(ws, at_words, d, phrase))
+        """Where the phrase begins: its words are template words, so they stand side by side among them, too."""
+        def begins(w: Column, j: Column) -> Column:
+            same = [(F.get(ws, j + k) == word) & (F.get(at_words, j + k) == F.get(at_words, j) + k) for k, word in enumerate(phrase) if k]
+            return F.when(_all(w == phrase[0], *same), F.get(at_words, j))
+
+        return F.filter(F.transform(ws, begins), lambda x: x.isNotNull())
 
     ws, at_words = F.col("w"), F.col("i")
     base = F.array(*[F.struct(F.lit(label).alias("label"), places(ws, at_words, phrase.split()).alias("at")) for phrase, label in BASE])
