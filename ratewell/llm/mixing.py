@@ -6,19 +6,22 @@ the text, is exploded by it, and all copies are put in the order of a second has
 
 Rates over 32 are drawn as a sum of equal parts of 32 at most, so no power of e underflows and no count is capped. A null
 source is a source of its own. Null ids and null texts hash as empty. Equal rows draw equal numbers and each row is
-replicated for itself. Without rows there is no result. The join with the rates is a plain one: Spark broadcasts the
-rates if they are small and splits a hot source if they are not."""
+replicated for itself. Very long texts are hashed whole. Without rows there is no result. The rates, a row for each source,
+are written first and broadcast if they are at most SOURCES; the join with more is a plain one, in which Spark splits a hot
+source. Input columns stay inside the column row, so their names can't clash."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, wrapped
+from .common import let, stored, wrapped
 
 SEED, ALPHA, PART = "mix-1", 0.5, 32.0
 #: Terms of the distribution that are summed for a part; beyond, its tail is below 1e-16.
 TERMS = 120
+#: Shuffle keys are below this; rates of up to so many sources are broadcast.
+KEYS, SOURCES = 16**15, 100_000
 
 
 def _unit(*parts: Column) -> Column:
@@ -57,15 +60,20 @@ def poisson(rate: Column, *key: Column) -> Column:
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, seed: str = SEED) -> DataFrame:
     """row (the whole input row), copy (from 1) and shuffle_key, in no order yet."""
     key = (F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.md5("text"), F.lit("")))
-    rates = target_rates(docs, weights, alpha).select(F.col("source").alias("rate_source"), "rate")
+    rates = stored(target_rates(docs, weights, alpha).select(F.col("source").alias("rate_source"), "rate"), "mix-rates")
+    if rates.limit(SOURCES + 1).count() <= SOURCES:
+        rates = F.broadcast(rates)
     rows = wrapped(docs, "doc_id", "text", "source").join(rates, F.col("source").eqNullSafe(F.col("rate_source")))
     copies = rows.withColumn("n", poisson(F.col("rate"), *key)).where("n > 0").select("row", "doc_id", "text", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
     return copies.select("row", "copy", F.conv(F.substring(F.md5(F.concat_ws(":", *key, F.lit("order"), F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long").alias("shuffle_key"))
 
 
 def shuffled(copies: DataFrame) -> DataFrame:
-    """Globally in the order of the hash: ranges of the key, sorted inside."""
-    return copies.repartitionByRange(F.col("shuffle_key"), F.col("copy")).sortWithinPartitions("shuffle_key", "copy")
+    """Globally in the order of the hash: equal ranges of the key, which is evenly spread, sorted inside. As the ranges are
+    known, the copies are made and moved once."""
+    parts = int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.least(F.floor(F.col("shuffle_key") / F.lit(float(KEYS)) * parts).cast("int"), F.lit(parts - 1))
+    return copies.repartitionById(parts, part).sortWithinPartitions("shuffle_key", "copy")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, seed: str = SEED) -> DataFrame:
