@@ -68,14 +68,18 @@ class Encoder:
         self.known.update({w: cores[core] + cores[mark] if mark else cores[core] for w, (core, mark) in parts.items()})
 
     def encoded(self, words: list[str]) -> bytes:
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            self.cores.clear()
-            new = set(words)
-        if new:
+        parts = list(map(self.known.get, words))
+        missing = [k for k, part in enumerate(parts) if part is None]
+        if missing:
+            new = {words[k] for k in missing}
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known.clear()
+                self.cores.clear()
+                missing, new = range(len(words)), set(words)
             self.learn(list(new))
-        return b"".join(map(self.known.__getitem__, words))
+            for k in missing:
+                parts[k] = self.known[words[k]]
+        return b"".join(parts)
 
     def ids(self, text: str) -> np.ndarray:
         parts, at = [], 0
