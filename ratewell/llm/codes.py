@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import one_blas_thread, stored
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 SPLITS, LEAF = 16, 8
@@ -113,6 +113,7 @@ def means(kept: DataFrame, books: list[np.ndarray]) -> list[np.ndarray]:
     trees, width = [Gnat(b) for b in books], books[0].shape[1]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_blas_thread()
         total = [np.zeros(b.shape, object) for b in books]
         count = [np.zeros(len(b), np.int64) for b in books]
         for batch in batches:
@@ -167,6 +168,7 @@ def encode(kept: DataFrame, books: list[np.ndarray]) -> DataFrame:
     width = dims // len(books) if books else 0
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_blas_thread()
         for batch in batches:
             at = batch.schema.get_field_index("v")
             there = np.asarray(batch.column(at).is_valid())
