@@ -501,11 +501,12 @@ def q_run(spark, sf_dir):
     """Core after batch runs of all types over a table of archives: of the newest archive's complete days the first in a
     manual run, the last in a scheduled one, and those between in a backfill."""
     folder = scratch_folder(spark, "run")
+    # The line items are read once; what follows has a row per day and code.
+    rates = _stored(views.rates(spark, sf_dir), "rates")
     # Raised, so that no rate changes by as much as the declared tests of the marts forbid.
-    landed = _stored(views.archives(spark, sf_dir, 100_000), "landed")
+    landed = _stored(views.archives(spark, sf_dir, 100_000, rates), "landed")
     year = landed.agg(F.max(F.year("modificationTime"))).first()[0]
-    rates = views.rates(spark, sf_dir).where(F.year("rate_date") == year)
-    complete = rates.groupBy("rate_date").count().where(F.col("count") == len(RUN_PARAMS.required))
+    complete = rates.where(F.year("rate_date") == year).groupBy("rate_date").count().where(F.col("count") == len(RUN_PARAMS.required))
     days = [r[0] for r in complete.orderBy("rate_date").collect()]  # days of one year
     for kind, day in zip(("manual", "scheduled"), (days[:1], days[-1:])):
         if day:

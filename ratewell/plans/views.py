@@ -136,26 +136,27 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(spark, sf_dir).select(F.inline(F.transform(copies, text)), "hash_id")
 
 
-def wide_text(spark: SparkSession, sf_dir: str, lift: int = 0) -> DataFrame:
+def wide_text(spark: SparkSession, sf_dir: str, lift: int = 0, found: DataFrame | None = None) -> DataFrame:
     """The rates, each raised by `lift`, as a provider's wide table: Date and one text column per code, NULL where a code has
-    none."""
+    none. found: the rates, where they are stored already."""
     cells = [
         F.max(F.when(F.col("currency") == c, (F.col("rate") + lift).cast("decimal(18,2)").cast("string"))).alias(c)
         for c in PARAMS.required
     ]
-    return rates(spark, sf_dir).groupBy(F.col("rate_date").cast("string").alias("Date")).agg(*cells)
+    found = rates(spark, sf_dir) if found is None else found
+    return found.groupBy(F.col("rate_date").cast("string").alias("Date")).agg(*cells)
 
 
-def archives(spark: SparkSession, sf_dir: str, lift: int = 0) -> DataFrame:
+def archives(spark: SparkSession, sf_dir: str, lift: int = 0, found: DataFrame | None = None) -> DataFrame:
     """One ZIP per ship year with the columns of the binaryFile source; a year has at most 366 lines of six
-    values. Even years use semicolons."""
+    values. Even years use semicolons. found: the rates, where they are stored already."""
     codes = list(PARAMS.required)
     delimiter = F.when(F.substring("Date", 4, 1).isin("0", "2", "4", "6", "8"), ";").otherwise(",")
     line = F.array_join(
         F.array("Date", *[F.coalesce(F.col(c), F.lit("N/A")) for c in codes], F.lit("")), "\u0001"
     )
     years = (
-        wide_text(spark, sf_dir, lift)
+        wide_text(spark, sf_dir, lift, found)
         .select(F.substring("Date", 1, 4).alias("year"), F.replace(line, F.lit("\u0001"), delimiter).alias("line"),
                 delimiter.alias("delimiter"))
         .groupBy("year", "delimiter")
