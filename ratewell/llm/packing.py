@@ -17,8 +17,11 @@ are read, and placed pieces keep their own columns in one of their own, so names
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,26 +38,58 @@ REMEMBERED, SLAB, TOGETHER = 800_000, 1 << 20, 2_000
 
 
 _MARKS = frozenset(".,!?;:")
+#: Letters that stay one code point when normalised and have one in lower case: a run of them is one piece for the merges.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_WORD = re.compile(f"[{_LETTERS}]+").fullmatch
+_LETTER_OR_DIGIT = re.compile(f"[{_LETTERS}0-9]").fullmatch
+#: How a tokenizer must normalise and split for that.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT, _BYTES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+
+
+def merges_words(tokenizer) -> bool:
+    """Whether a run of letters goes to the tokenizer's merges whole, in lower case and written in its bytes."""
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+        return False
+    normal, split = (json.loads(x.__getstate__()) for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+    steps = split.get("pretokenizers", [])
+    return type(tokenizer.model).__name__ == "BPE" and normal.get("normalizers") == _NORMALIZERS and len(steps) == 2 and (
+        steps[0] == {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True} and _BYTES.items() <= steps[1].items())
 
 
 # --- tokens ------------------------------------------------------------------------------------------------
 
 class Encoder:
-    """Ids of whole texts. The tokenizer never looks across a space, and takes a mark after an ASCII letter or digit as a
-    token of its own, so every distinct core of a word is encoded once, in lower case."""
+    """Ids of whole texts. The tokenizer never looks across a space, and takes a mark after a letter or digit as a
+    token of its own, so every distinct core of a word is encoded once, in lower case. A core of letters alone goes straight
+    to the tokenizer's merges, where that gives the same ids."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.known, self.cores = Tokenizer.from_file(path), {}, {}
+        self.merges = self.tokenizer.model if merges_words(self.tokenizer) else None
+        written = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.in_bytes = {n: written.pre_tokenize_str(chr(n))[0][0] for n in range(0xC0, 0x100)}
+
+    def merged(self, word: str) -> bytes:
+        """The ids of a run of letters."""
+        low = word.lower()
+        return array("I", [t.id for t in self.merges.tokenize(low if low.isascii() else low.translate(self.in_bytes))]).tobytes()
 
     def learn(self, words: list[str]) -> None:
         parts = {}
         for w in words:
             low = w.lower() if w.isascii() else w  # beyond ASCII the tokenizer's own order of normalising counts
-            marked = low[-1:] in _MARKS and len(low) > 1 and low[-2].isascii() and low[-2].isalnum()
+            marked = low[-1:] in _MARKS and len(low) > 1 and _LETTER_OR_DIGIT(low[-2])
             parts[w] = (low[:-1], low[-1]) if marked else (low, "")
-        new = list({c for pair in parts.values() for c in pair}.difference(self.cores))
+        new = {c for pair in parts.values() for c in pair}.difference(self.cores)
+        if self.merges is not None:
+            words = list(filter(_WORD, new))
+            self.cores.update(zip(words, map(self.merged, words)))
+            new.difference_update(words)
+        new = list(new)
         # Many words in one call, joined by spaces: a call costs far more than a word. Tokens go back by their offsets.
         for lo in range(0, len(new), TOGETHER):
             some = new[lo:lo + TOGETHER]
