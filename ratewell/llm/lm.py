@@ -13,18 +13,19 @@ ROUNDS lots, the blocks of a lot are learned side by side from the same weights,
 the next lot begins. For scoring, documents of a batch advance together in windows, and the state is carried from window to
 window to the document's end.
 
-Null or empty text: the end token alone. Very long texts are cut into words PIECE bytes at a time and make a block of their
-own. A null id is never held out nor learned from. Repeated rows are scored for themselves and each counts, and as blocks are
+Null or empty text: the end token alone. Texts are cut into words PIECE characters at a time, longer ones alone, and very long ones
+make a block of their own. A null id is never held out nor learned from. Repeated rows are scored for themselves and each counts, and as blocks are
 cut by size, copies of one row share no task beyond it. Without training rows, also on an empty table, N and V are 0 and the
 base score of every token is log10(1). Only doc_id and text are read, so other columns can have any name."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,72 +36,84 @@ BLOCK_CHARS, PIECE = 16_000_000, 1 << 22
 WIDE, BINS, HIDDEN = 16, 24, 24
 ROUNDS, STREAMS, UPDATES, STEPS, RATE = 4, 512, 250, 24, 0.01
 WINDOW, TOGETHER = 48, 1024
-_SPACE = re.compile(rb"[ \t-\r]")
 
 
 # --- counts ------------------------------------------------------------------------------------------------
 
-def tokens(text: str) -> Iterator[list[bytes]]:
-    """The words of a text with A-Z lower-cased, a bounded part at a time."""
-    data, lo = text.encode("utf-8", "replace"), 0
-    while lo < len(data):
-        cut = _SPACE.search(data, lo + PIECE) if lo + PIECE < len(data) else None
-        hi = cut.start() if cut else len(data)
-        yield data[lo:hi].lower().split()
-        lo = hi
-
-
-class Numbers(dict):
-    """Numbers of words in the order in which they are asked for first."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+def words_of(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts with A-Z lower-cased, one after the other, and how many each text has. Arrow's ASCII white space
+    is what splits words."""
+    data = pa.array([text.encode("utf-8", "replace") for text in texts], pa.large_binary()).cast(pa.large_string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(data))
+    offsets, flat = parts.offsets.to_numpy(), parts.flatten()
+    real = pc.not_equal(pc.binary_length(flat), 0)  # white space at an end of a text leaves an empty part
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return flat.filter(real), np.diff(before[offsets])
 
 
 class Block:
-    """Documents as numbers of the block's words, in the order in which they come; word 0 is the end, the empty word."""
+    """Documents as numbers of the block's words, in the order in which they come; word 0 is the end, the empty word. Arrow
+    splits PIECE characters at a time, and numbers the words of all when the block is full."""
 
     def __init__(self, name: str):
-        self.name, self.at, self.chars = name, Numbers({b"": 0}), 0
-        self.docs: list[tuple] = []
+        self.name, self.chars, self.waiting = name, 0, 0
+        self.ids: list[str | None] = []
+        self.folds: list[str | None] = []
+        self.texts: list[str] = []
+        self.words: list[pa.Array] = []
+        self.sizes: list[np.ndarray] = []
 
     def add(self, doc_id: str | None, fold: str | None, text: str) -> None:
-        parts = [np.fromiter(map(self.at.__getitem__, words), np.uint32, len(words)) for words in tokens(text)]
-        self.docs.append((doc_id, fold, np.concatenate([*parts, np.zeros(1, np.uint32)])))
+        self.ids.append(doc_id)
+        self.folds.append(fold)
+        self.texts.append(text)
         self.chars += len(text) + 8
-
-    def row(self) -> pd.DataFrame:
-        counts, train = np.zeros(len(self.at), np.int64), []
-        for _, fold, ids in self.docs:
-            if fold is not None and fold != "2":
-                train.append(ids)
-        if train:
-            counts = np.bincount(np.concatenate(train), minlength=len(self.at))
-        docs = [{"doc_id": d, "fold": f, "ids": ids.tobytes()} for d, f, ids in self.docs]
-        return pd.DataFrame({"block": [self.name], "words": [[w.decode() for w in self.at]], "n": [counts], "docs": [docs]})
+        self.waiting += len(text) + 8
+        if self.waiting >= PIECE:
+            self.split()
+
+    def split(self) -> None:
+        words, sizes = words_of(self.texts)
+        self.words.append(words)
+        self.sizes.append(sizes)
+        self.texts, self.waiting = [], 0
+
+    def row(self) -> pa.RecordBatch:
+        self.split()
+        own = pa.chunked_array(self.words).dictionary_encode().chunks
+        words = pa.concat_arrays([pa.array([""], pa.large_string()), *[c.dictionary for c in own[-1:]]]).cast(pa.string())  # the last chunk knows all
+        numbers = np.concatenate([np.zeros(0, np.uint32), *[c.indices.to_numpy().astype(np.uint32) + np.uint32(1) for c in own]])
+        ends = np.cumsum(np.concatenate(self.sizes))
+        ids = np.insert(numbers, ends, np.uint32(0))  # each document's end follows its words
+        ends += np.arange(1, len(ends) + 1)
+        learned = np.repeat([f is not None and f != "2" for f in self.folds], np.diff(ends, prepend=0))
+        counts = np.bincount(ids[learned], minlength=len(words))
+        parts = [x.tobytes() for x in np.split(ids, ends[:-1])]
+        docs = pa.StructArray.from_arrays([pa.array(self.ids, pa.string()), pa.array(self.folds, pa.string()), pa.array(parts, pa.binary())], ["doc_id", "fold", "ids"])
+        whole = lambda x: pa.ListArray.from_arrays([0, len(x)], x)
+        return pa.RecordBatch.from_arrays([pa.array([self.name]), whole(words), whole(pa.array(counts, pa.int64())), whole(docs)], ["block", "words", "n", "docs"])
 
 
 def blocks(docs: DataFrame) -> DataFrame:
     """block, words, n (training tokens of each word), docs (doc_id, fold: remainder of the id's hash, ids): written, so that
     the blocks stay the same whatever order the rows come in when they are asked for again."""
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         block = Block(f"{part}-{n}")
         for batch in batches:
-            for doc_id, fold, text in zip(batch.doc_id, batch.fold, batch.text):
+            for doc_id, fold, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "fold", "text"))):
                 block.add(doc_id, fold, text)
                 if block.chars >= BLOCK_CHARS:
                     yield block.row()
                     n += 1
                     block = Block(f"{part}-{n}")
-        if block.docs:
+        if block.ids:
             yield block.row()
 
     rows = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"), F.pmod(doc_hash(), F.lit(7)).cast("string").alias("fold"))
     kind = "block string, words array<string>, n array<long>, docs array<struct<doc_id: string, fold: string, ids: binary>>"
-    return stored(rows.mapInPandas(made, kind), "lm-blocks")
+    return stored(rows.mapInArrow(made, kind), "lm-blocks")
 
 
 class Shape:
@@ -203,24 +216,29 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp of logits in place, kept within what single precision can sum, and the sums of the rows. A row's largest logit is
-    not looked for, which would take longer than all the rest."""
-    np.clip(x, -80, 60, out=x)
+def _exp(x: np.ndarray, spans: list[tuple[int, int, int]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """exp of logits in place, kept within what single precision can sum, and the sums of the rows, a span of rows at a time
+    if spans are given: the last bit of a sum depends on the rows beside it. A row's largest logit is not looked for, which
+    would take longer than all the rest."""
+    np.maximum(x, np.float32(-80), out=x)
+    np.minimum(x, np.float32(60), out=x)
     np.exp(x, out=x)
-    return x, x @ np.ones(x.shape[1], np.float32)
+    ones, sums = np.ones(x.shape[1], np.float32), np.empty(len(x), np.float32)
+    for _, a, b in [(0, 0, len(x))] if spans is None else spans:
+        sums[a:b] = x[a:b] @ ones
+    return x, sums
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x, sums = _exp(x)
+def _softmax(x: np.ndarray, spans: list[tuple[int, int, int]] | None = None) -> np.ndarray:
+    x, sums = _exp(x, spans)
     x *= np.reciprocal(sums)[:, None]
     return x
 
 
-def _log_picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _log_picked(x: np.ndarray, at: np.ndarray, spans: list[tuple[int, int, int]] | None = None) -> np.ndarray:
     """Log softmax of one entry of each row."""
     picked = np.clip(x[np.arange(len(at)), at], -80, 60)
-    return picked - np.log(_exp(x)[1])
+    return picked - np.log(_exp(x, spans)[1])
 
 
 def run_states(p: dict, inputs: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
@@ -245,13 +263,22 @@ def run_states(p: dict, inputs: np.ndarray, h: np.ndarray, keep: np.ndarray | No
     return out
 
 
-def by_class(kinds: np.ndarray, wide: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The places of each class of frequent words that occurs."""
-    order = np.argsort(kinds, kind="stable")
+def by_class(kinds: np.ndarray, wide: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The places of words of the frequent classes in the order of their classes, and (class, from, to) in that order of each
+    class that occurs."""
+    order = np.argsort(kinds.astype(np.uint16), kind="stable")
     ends = np.searchsorted(kinds[order], np.arange(1, wide + 2))
-    for k in range(wide):
-        if ends[k] < ends[k + 1]:
-            yield k, order[ends[k]:ends[k + 1]]
+    spans = [(k, int(a - ends[0]), int(b - ends[0])) for k, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+    return order[ends[0]:ends[-1]], spans
+
+
+def word_logits(p: dict, rows: np.ndarray, spans: list[tuple[int, int, int]], wide: int) -> np.ndarray:
+    """The logits of the words of a row's class; rows stand in the order of their classes, so that a class is one slice."""
+    logits = np.empty((len(rows), wide), np.float32)
+    for k, a, b in spans:
+        np.matmul(rows[a:b], p["ww"][k], out=logits[a:b])
+        logits[a:b] += p["bw"][k]
+    return logits
 
 
 def log_prob(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -260,10 +287,9 @@ def log_prob(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray) ->
     logits = states @ p["wc"]
     logits += p["bc"]
     out = _log_picked(logits, kinds)
-    for k, at in by_class(kinds, shape.wide):
-        logits = states[at] @ p["ww"][k]
-        logits += p["bw"][k]
-        out[at] += _log_picked(logits, (targets[at].astype(int) - 1) % shape.wide)
+    at, spans = by_class(kinds, shape.wide)
+    logits = word_logits(p, states[at], spans, shape.wide)
+    out[at] += _log_picked(logits, (targets[at].astype(int) - 1) % shape.wide, spans)
     return out
 
 
@@ -291,13 +317,16 @@ def train_shard(shape: Shape, documents: list[np.ndarray], flat: np.ndarray) ->
         d["wc"] += rows.T @ e
         d["bc"] += e.sum(axis=0)
         back = e @ p["wc"].T
-        for k, at in by_class(kinds, shape.wide):
-            own = rows[at]
-            e = _softmax(own @ p["ww"][k] + p["bw"][k])
-            e[np.arange(len(at)), (y[at] - 1) % shape.wide] -= 1
-            d["ww"][k] += own.T @ e
-            d["bw"][k] += e.sum(axis=0)
-            back[at] += e @ p["ww"][k].T
+        at, spans = by_class(kinds, shape.wide)
+        own = rows[at]
+        e = _softmax(word_logits(p, own, spans, shape.wide), spans)
+        e[np.arange(len(at)), (y[at] - 1) % shape.wide] -= 1
+        own_back = np.empty_like(own)
+        for k, a, b in spans:
+            d["ww"][k] += own[a:b].T @ e[a:b]
+            d["bw"][k] += e[a:b].sum(axis=0)
+            np.matmul(e[a:b], p["ww"][k].T, out=own_back[a:b])
+        back[at] += own_back
         back, dh, (z, r, c, hun) = back.reshape(states.shape), np.zeros_like(h), keep
         h0 = np.concatenate([first[None], states[:-1]])
         # What a step multiplies, for all steps at once: by the new state, its gate and the reset.
@@ -316,8 +345,9 @@ def train_shard(shape: Shape, documents: list[np.ndarray], flat: np.ndarray) ->
         d["u"] += h0.reshape(-1, HIDDEN).T @ dhu.reshape(-1, 3 * HIDDEN)
         # Sums per input symbol: rows in the order of their symbols, one sum per run.
         order = np.argsort(x.ravel(), kind="stable")
-        symbols, starts = np.unique(x.ravel()[order], return_index=True)
-        d["x"][symbols] += np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
+        ordered = x.ravel()[order]
+        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        d["x"][ordered[starts]] += np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
         grad /= len(y)
         grad *= min(1.0, 1.0 / (float(np.sqrt(grad @ grad)) + 1e-9))
         turn += 1
