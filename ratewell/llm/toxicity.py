@@ -2,8 +2,8 @@
 
 A text's features are the distinct hashes of its words, neighbouring word pairs and pairs with one word between. Each
 shard of the labelled rows runs FTRL-proximal by rows in hash order, with a learning rate per coordinate; after each
-round of passes the shards' states are brought together. The L1 term leaves few weights other than zero; those alone are sent to the tasks
-that score.
+round of passes the shards' states are brought together, a range of features in a task. The L1 term leaves few weights other
+than zero; those alone come to the driver and are sent to the tasks that score.
 
 The model is fitted on about SAMPLE different labelled rows (all, if there are fewer), chosen by a hash of id and text. A null
 or empty text has the score of the bias alone; very long texts are hashed whole. A null id is never labelled and not held out.
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +25,8 @@ from .common import doc_hash, stored, wrapped
 
 BITS, SHARD_ROWS, ROUNDS, PASSES, SAMPLE = 19, 5_000, 2, 3, 20_000
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
+#: Ranges of features in which the shards' states are brought together, and a row of a state.
+PARTS, STATE = 16, "shard long, part int, at binary, z binary, n binary"
 THRESHOLD = 0.3
 # Letters lower-cased, all other ASCII but digits a space: bytes over 127 stay as they are.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
@@ -83,45 +84,78 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return stored(texts.select("shard", "h", "toxic", "text").mapInPandas(hashed, "shard long, h long, toxic int, at array<int>"), "toxic-training")
 
 
-def _shard_pass(state: Broadcast, turn: int):
-    """PASSES passes of one shard from the shared state on, as a function of the shard's rows."""
+def _state_rows(shard: int, at: np.ndarray, z: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    """The state as rows (shard, part, at, z, n), one for each range of features, also where it is empty; at is in order."""
+    cuts = np.searchsorted(at, np.arange(PARTS + 1) * (1 << BITS) // PARTS)
+    pieces = [(shard, part, at[lo:hi].astype(np.int32).tobytes(), z[lo:hi].astype(np.float32).tobytes(), n[lo:hi].astype(np.float32).tobytes()) for part, (lo, hi) in enumerate(zip(cuts, cuts[1:]))]
+    return pd.DataFrame(pieces, columns=["shard", "part", "at", "z", "n"])
 
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        at, z0, n0 = state.value
+
+def _shard_pass(turn: int):
+    """PASSES passes of one shard from the shared state on, as a function of the shard's rows and of the state's."""
+
+    def learn(group: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-        z[at], n[at] = z0, n0
+        for s in state.itertuples():
+            at = np.frombuffer(s.at, np.int32)
+            z[at], n[at] = np.frombuffer(s.z, np.float32), np.frombuffer(s.n, np.float32)
         rows = [(np.append(at, _BIAS), y) for at, y in zip(group["at"], group.toxic)]
         for k in range(PASSES):
             order = np.lexsort((group.h, [zlib.crc32(f"{turn}:{k}:{i}".encode()) for i in group.h]))
             ftrl_pass([rows[j] for j in order], z, n)
         at = np.flatnonzero(n)
-        return pd.DataFrame({"at": [at.astype(np.int32).tobytes()], "z": [z[at].astype(np.float32).tobytes()], "n": [n[at].astype(np.float32).tobytes()], "rows": [len(group)]})
+        return _state_rows(int(group.shard.iloc[0]), at, z[at], n[at])
 
     return learn
 
 
+def _together(states: pd.DataFrame, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, z and n of one range of features from the states of all shards. A coordinate's evidence adds up over the
+    shards of the first round and is averaged over the following ones."""
+    states = states.sort_values("shard")
+    found = [np.frombuffer(x, np.int32) for x in states["at"]]
+    at = np.unique(np.concatenate(found))
+    z, n, heard = np.zeros(len(at)), np.zeros(len(at)), np.zeros(len(at))
+    for own, own_z, own_n in zip(found, states.z, states.n):
+        k = np.searchsorted(at, own)
+        z[k] += np.frombuffer(own_z, np.float32)
+        n[k] += np.frombuffer(own_n, np.float32)
+        heard[k] += 1
+    return (at, z / heard, n / heard) if turn else (at, z, n)
+
+
+def _for_all(turn: int):
+    """The state of one range after a round, a row for each shard, as a function of the shards' states."""
+
+    def join(states: pd.DataFrame) -> pd.DataFrame:
+        at, z, n = _together(states, turn)
+        rows = pd.DataFrame({"shard": sorted(states.shard), "part": states.part.iloc[0]})
+        return rows.assign(at=at.tobytes(), z=z.astype(np.float32).tobytes(), n=n.astype(np.float32).tobytes())
+
+    return join
+
+
+def _nonzero(states: pd.DataFrame) -> pd.DataFrame:
+    """The weights of one range after the last round."""
+    at, z, n = _together(states, ROUNDS - 1)
+    w = _weights(z, n)
+    return pd.DataFrame({"at": [at[w != 0].tobytes()], "w": [w[w != 0].tobytes()]})
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """The weights that aren't zero: their features, in order, and values."""
-    spark, rows = docs.sparkSession, training_rows(docs, labels, sample)
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    """The weights that aren't zero: their features, in order, and values. States stay with the tasks and in the shared
+    folder; the weights alone come to the driver."""
+    rows, state = training_rows(docs, labels, sample), docs.sparkSession.createDataFrame([], STATE)
     for turn in range(ROUNDS):
-        state = spark.sparkContext.broadcast((np.flatnonzero(n).astype(np.int32), z[n > 0].astype(np.float32), n[n > 0].astype(np.float32)))
-
-        states = rows.groupBy("shard").applyInPandas(_shard_pass(state, turn), "at binary, z binary, n binary, rows long").collect()  # SAMPLE / SHARD_ROWS rows
-        z, n, heard = np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros(1 << BITS)
-        for s in states:
-            at = np.frombuffer(s["at"], np.int32)
-            z[at] += np.frombuffer(s["z"], np.float32)
-            n[at] += np.frombuffer(s["n"], np.float32)
-            heard[at] += 1
-        # A coordinate's evidence adds up over the shards of the first round and is averaged over the following ones.
-        if turn:
-            z, n = z / np.maximum(heard, 1), n / np.maximum(heard, 1)
-    if not n.any():
+        states = rows.groupBy("shard").cogroup(state.groupBy("shard")).applyInPandas(_shard_pass(turn), STATE).groupBy("part")
+        if turn < ROUNDS - 1:
+            state = stored(states.applyInPandas(_for_all(turn), STATE), "toxic-state")
+    parts = states.applyInPandas(_nonzero, "at binary, w binary").collect()  # PARTS rows
+    if not parts:
         return np.array([_BIAS]), np.array([-35.0])
-    w = _weights(z, n)
-    at = np.flatnonzero(w)
-    return at, w[at]
+    at, w = (np.concatenate([np.frombuffer(r[name], kind) for r in parts]) for name, kind in (("at", np.int32), ("w", np.float64)))
+    order = np.argsort(at)
+    return at[order], w[order]
 
 
 def score_text(text: str | None, dense: np.ndarray) -> float:

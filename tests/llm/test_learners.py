@@ -89,6 +89,43 @@ def test_training_is_bounded_in_rows(spark):
     assert toxicity.fit(docs.limit(0), labels)[1].tolist() == [-35.0]
 
 
+def test_states_of_shards_stay_with_the_tasks(spark, monkeypatch):
+    """Several shards give what a plain loop over them gives; the driver gets the weights, not the states."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    ids = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2]
+    rows = [(k, f"word{k} rare{k} {'vile rude' if k % 2 else 'kind mild'} " + " ".join(f"w{k}x{i}" for i in range(k % 90))) for k in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, toxic int")
+    learned = toxicity.training_rows(docs, labels).toPandas()
+    size = 1 << toxicity.BITS
+    z, n = np.zeros(size), np.zeros(size)
+    for turn in range(toxicity.ROUNDS):
+        all_z, all_n, heard = np.zeros(size), np.zeros(size), np.zeros(size)
+        for _, shard in learned.groupby("shard"):
+            own_z, own_n = z.astype(np.float32).astype(float), n.astype(np.float32).astype(float)
+            known = [(np.append(at, 0), y) for at, y in zip(shard["at"], shard.toxic)]
+            for k in range(toxicity.PASSES):
+                order = np.lexsort((shard.h, [zlib.crc32(f"{turn}:{k}:{i}".encode()) for i in shard.h]))
+                toxicity.ftrl_pass([known[j] for j in order], own_z, own_n)
+            all_z += own_z.astype(np.float32)
+            all_n += own_n.astype(np.float32)
+            heard += own_n > 0
+        z, n = (all_z / np.maximum(heard, 1), all_n / np.maximum(heard, 1)) if turn else (all_z, all_n)
+    w = toxicity._weights(z, n)
+    came, collect = [], type(docs).collect
+
+    def counted(df):
+        got = collect(df)
+        came.extend(len(v) for r in got for v in r if isinstance(v, bytes | bytearray))
+        return got
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    at, found = toxicity.fit(docs, labels)
+    assert learned.shard.nunique() >= 3 and at.tolist() == np.flatnonzero(w).tolist()
+    assert np.allclose(found, w[at], rtol=1e-6)
+    assert (n > 0).sum() > 20 * len(at) and sum(came) <= 12 * len(at)
+
+
 # --- urls ------------------------------------------------------------------------------------------------
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]

@@ -3,12 +3,33 @@
 from __future__ import annotations
 
 import collections
+import glob
+import tempfile
+import time
 from types import SimpleNamespace
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from ratewell.llm import hnsw, jaccard, licenses, lm, mixing, urls
+from ratewell.llm.common import stored
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark):
+    """They go when the write ends, not with some later collection of garbage; the session's settings stay as they were."""
+    files = lambda: set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/*/shuffle_*"))
+    settings, before = dict(spark.sparkContext.getConf().getAll()) | spark.conf.getAll, files()
+    rows = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).count()
+    rows.write.format("noop").mode("overwrite").save()
+    assert files() - before  # of a plain write they are seen
+    before = files()
+    got = stored(rows.join(rows.withColumnRenamed("count", "n"), "k"), "no-shuffle-files")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and got.count() == rows.count() == 100
+    assert dict(spark.sparkContext.getConf().getAll()) | spark.conf.getAll == settings
 
 
 def test_nearest_tasks_see_one_block(spark):
